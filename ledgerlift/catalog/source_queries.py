@@ -95,7 +95,7 @@ def normalize_hex_ids(v: Views):
        concat('b"', o_orderpriority, '"') AS other FROM orders""",
 )
 def decode_byte_literals(v: Views):
-    pairs = F.regexp_replace(F.hex("o_orderpriority"), "(..)", r"\\\\x$1")
+    pairs = F.regexp_replace(F.hex("o_orderpriority"), "(..)", r"\\x$1")
     raw = v.table("orders").select(
         "o_orderkey",
         F.concat(F.lit("b'"), pairs, F.lit("'")).alias("escaped"),

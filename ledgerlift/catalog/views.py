@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_schemas: dict[str, T.StructType] = {}
 
 
 class Views:
@@ -16,7 +20,11 @@ class Views:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its schema is inferred once and stated from then on."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def tx(self) -> DataFrame:
         """Lineitems as transactions: returned items are money coming in."""
