@@ -130,7 +130,7 @@ def numeric_casts(df: DataFrame, columns) -> dict[str, str]:
     probes = []
     for i, name in enumerate(texts):
         c = F.col(f"`{name}`")
-        is_integer = c.rlike(INTEGER_TEXT) & c.try_cast("bigint").isNotNull()
+        is_integer = F.when(c.isNotNull(), c.rlike(INTEGER_TEXT) & c.try_cast("bigint").isNotNull())
         is_number = c.rlike(NUMBER_TEXT) | F.lower(c).rlike(SPECIAL_NUMBER_TEXT)
         probes.append(F.coalesce(F.bool_and(is_integer), F.lit(False)).alias(f"i{i}"))
         probes.append(F.coalesce(F.bool_and(is_number), F.lit(True)).alias(f"n{i}"))

@@ -17,7 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.operators.scale import column_scales
@@ -54,7 +54,7 @@ class Sizes:
 
 SMALL = Sizes(
     forest_trees=10, forest_depth=4, boost_rounds=5, boost_rate=0.3, boost_depth=3, leaf_depth=3,
-    random_features=64, svc_iterations=20, svc_folds=2, folds=2, meta_iterations=100,
+    random_features=64, svc_iterations=10, svc_folds=2, folds=2, meta_iterations=100, parallelism=8,
 )
 
 
@@ -71,12 +71,12 @@ class Learner:
         return self.add_score(df, f"p_{self.name}")
 
 
-def _run_all(tasks: list[Callable], parallelism: int) -> list:
-    """Start independent Spark jobs side by side."""
+def _run_all(spark: SparkSession, tasks: list[Callable], parallelism: int) -> list:
+    """Start independent Spark jobs side by side and return their results in order."""
     if not tasks:
         return []
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), [inheritable_thread_target(t) for t in tasks])
+        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks], chunksize=1)
 
 
 def feature_vector(columns: list[str], scales: dict[str, float] | None = None) -> Column:
@@ -260,14 +260,15 @@ def fit_stack(
     rows = with_weights(rows, "y")
     rows = stage(stratified_folds(rows, "y", "id", sizes.folds, sizes.seed + 7), "train")
 
-    def fitted(part: DataFrame) -> dict[str, Learner]:
-        fits = base_fits(part, "y", "id", sizes)
-        return dict(zip(learners, _run_all([fits[n] for n in learners], sizes.parallelism)))
-
+    # All fits are independent: those of each fold, and those on all rows.
+    parts = [rows.where(F.col("fold") != k) for k in range(sizes.folds)] + [rows]
+    fits = [base_fits(part, "y", "id", sizes)[name] for part in parts for name in learners]
+    models = _run_all(df.sparkSession, fits, sizes.parallelism)
+    width = len(learners)
     held_out = []
     for k in range(sizes.folds):
-        models = fitted(rows.where(F.col("fold") != k)).values()
-        part = reduce(lambda d, m: m.score(d), models, rows.where(F.col("fold") == k))
+        fold_models = models[k * width : (k + 1) * width]
+        part = reduce(lambda d, m: m.score(d), fold_models, rows.where(F.col("fold") == k))
         held_out.append(part.drop("features"))
     inputs = [f"p_{n}" for n in learners]
     blended = stage(reduce(DataFrame.unionByName, held_out), "held-out")
@@ -277,7 +278,7 @@ def fit_stack(
         featuresCol="_inputs", labelCol="y", weightCol="w_balanced", regParam=1.0 / total, elasticNetParam=0.0,
         standardization=False, maxIter=sizes.meta_iterations,
     ).fit(blended)
-    return StackModel(features, scales, fitted(rows), meta)
+    return StackModel(features, scales, dict(zip(learners, models[-width:])), meta)
 
 
 def cross_validated_scores(

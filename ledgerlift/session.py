@@ -31,10 +31,11 @@ def recommend(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it then gets a fresh temporary folder.
+    Without the setting it is the context's checkpoint folder, if one was set. Only a local session
+    may do without both; it then gets a fresh temporary folder.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
