@@ -340,7 +340,7 @@ def recurring_merchants(v: Views):
 )
 def fill_with_max(v: Views):
     fa = v.fa()
-    largest = diversity.before_anchor(v.tx(), fa).groupBy("user_id").agg(F.max("amount").alias("last_amount"))
+    largest = diversity.per_user(diversity.before_anchor(v.tx(), fa), F.max("amount").alias("last_amount"))
     return diversity.fill_with_max(fa.select("user_id").join(largest, "user_id", "left"), "last_amount")
 
 
@@ -363,7 +363,7 @@ def attach_feature_blocks(v: Views):
     ]
     for n in (30, 90):
         window = diversity.before_anchor(tx, fa, n)
-        blocks.append(window.groupBy("user_id").agg(F.count("id").alias(f"count_{n}d")))
+        blocks.append(diversity.per_user(window, F.count("id").alias(f"count_{n}d")))
     return supervised.assemble(fa.select("user_id"), blocks)
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The grammar of a Python bytes literal in single quotes and its named escapes.
-BYTE_LITERAL = r"""(?s)^b'(?:\\x[0-9A-Fa-f]{2}|\\[\x01-\x77\x79-\x7f]|[\x01-\x09\x0b\x0c\x0e-\x26\x28-\x5b\x5d-\x7f])*'$"""
+BYTE_ESCAPE = r"(?s)\\x[0-9A-Fa-f]{2}|\\[\x01-\x77\x79-\x7f]"
+BYTE_PLAIN = r"^[\x01-\x09\x0b\x0c\x0e-\x26\x28-\x5b\x5d-\x7f]*$"
 BYTE_TOKEN = r"(?s)\\x[0-9A-Fa-f]{2}|\\[0-7]{1,3}|\\.|[^\\]+"
 NAMED_ESCAPES = {
     "\\\\": "5c",
@@ -29,12 +30,12 @@ SPECIAL_NUMBER_TEXT = r"^\s*(?:nan|[+-]?inf(?:inity)?)\s*$"
 
 
 def _token_hex(token: Column) -> Column:
-    """Hex digits of one piece of a bytes literal."""
-    digits = F.substring(token, 2, 3)
-    octal = F.lower(F.lpad(F.conv(digits, 8, 16), 4, "0"))
+    """Hex digits of one piece of a bytes literal: a run of plain characters or one escape."""
+    kind = F.substring(token, 2, 1)
+    octal = F.lower(F.lpad(F.conv(F.substring(token, 2, 3), 8, 16), 4, "0"))
     out = F.when(~token.startswith("\\"), F.lower(F.hex(token)))
-    out = out.when(token.rlike(r"^\\x[0-9A-Fa-f]{2}$"), F.lower(F.substring(token, 3, 2)))
-    out = out.when(token.rlike(r"^\\[0-7]{1,3}$"), F.right(octal, F.lit(2)))
+    out = out.when(kind == "x", F.lower(F.substring(token, 3, 2)))
+    out = out.when(kind.between("0", "7"), F.right(octal, F.lit(2)))
     for escape, digits in NAMED_ESCAPES.items():
         out = out.when(token == escape, F.lit(digits))
     return out.otherwise(F.lower(F.hex(token)))
@@ -50,7 +51,10 @@ def hex_id(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         body = F.substr(c, F.lit(3), F.length(c) - 3)
         decoded = F.array_join(F.transform(F.regexp_extract_all(body, F.lit(BYTE_TOKEN), F.lit(0)), _token_hex), "")
-        return F.when(c.startswith("b'") & c.rlike(BYTE_LITERAL), decoded).otherwise(c)
+        quoted = c.startswith("b'") & c.endswith("'") & (F.length(c) > 2)
+        # Without its escapes a literal is plain text; a bad escape leaves its backslash behind.
+        well_formed = F.regexp_replace(body, BYTE_ESCAPE, "").rlike(BYTE_PLAIN)
+        return F.when(F.when(quoted, well_formed), decoded).otherwise(c)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(c), c.cast("string"))
     return c.cast("string")

@@ -44,9 +44,23 @@ def before_anchor(tx: DataFrame, anchors: DataFrame, days: int | None = None) ->
 
 
 def merchant_counts(rows: DataFrame) -> DataFrame:
-    """Transactions per user and known merchant."""
+    """Transactions per user and known merchant.
+
+    Grouped on the pair as one value, so that rows which come partitioned by user from a join are
+    spread by merchant too.
+    """
     known = rows.where(F.col("user_id").isNotNull() & F.col("merchant_name").isNotNull())
-    return known.groupBy("user_id", "merchant_name").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = known.groupBy(F.struct("user_id", "merchant_name").alias("pair")).agg(F.count(F.lit(1)).alias("cnt"))
+    return pairs.select("pair.user_id", "pair.merchant_name", "cnt")
+
+
+def per_user(rows: DataFrame, *aggregates: Column) -> DataFrame:
+    """Aggregates per user over rows that come from a join on the user.
+
+    Grouping on the user as a struct keeps the partial sums before a shuffle of their own.
+    """
+    grouped = rows.where(F.col("user_id").isNotNull()).groupBy(F.struct("user_id").alias("_user")).agg(*aggregates)
+    return grouped.select("_user.user_id", *[c for c in grouped.columns if c != "_user"])
 
 
 def merchant_concentration(rows: DataFrame, over: str = "transactions") -> DataFrame:

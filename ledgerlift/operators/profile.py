@@ -33,6 +33,19 @@ def _missing(df: DataFrame, name: str) -> Column:
     return _c(name).isNull()
 
 
+def _stacked(df: DataFrame, names: list[str], type_: str) -> DataFrame:
+    """All values of some columns as rows of ``(i, value)``, with the column's number for its name."""
+    renamed = df.select(*[_c(c).cast(type_).alias(str(i)) for i, c in enumerate(names)])
+    rows = renamed.unpivot([], renamed.columns, "i", "value")
+    return rows.select(F.col("i").cast("int").alias("i"), "value")
+
+
+def _named(df: DataFrame, names: list[str]) -> DataFrame:
+    """Replace the column number ``i`` by the column's name."""
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
+    return df.select(name.alias("column_name"), *[c for c in df.columns if c != "i"])
+
+
 def numeric_names(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
@@ -66,9 +79,8 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
     if approximate:
         wide = df.agg(*[F.approx_count_distinct(_c(c)).alias(f"d{i}") for i, c in enumerate(names)])
         return _long(wide, names, {"distinct_values": "d"})
-    texts = df.select(*[_c(c).cast("string").alias(c) for c in names])
-    values = texts.unpivot([], names, "column_name", "value").distinct()
-    return values.groupBy("column_name").agg(F.count("value").alias("distinct_values"))
+    values = _stacked(df, names, "string").distinct()
+    return _named(values.groupBy("i").agg(F.count("value").alias("distinct_values")), names)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataFrame:
@@ -77,25 +89,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     Values are counted, then ordered once for all columns together; a quantile is the first value
     whose running count reaches its place. No task ever holds a whole column.
     """
-    doubles = df.select(*[_c(c).cast("double").alias(c) for c in columns])
-    values = doubles.unpivot([], columns, "column_name", "value")
-    values = values.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = ordered_totals(
-        counted, [F.col("column_name").asc(), F.col("value").asc()], {"cum": "n"}, rank="_rank"
-    )
-    sizes = counted.groupBy("column_name").agg(F.sum("n").alias("total"))
-    starts = running.groupBy("column_name").agg(F.min(F.col("cum") - F.col("n")).alias("start"))
-    placed = running.join(F.broadcast(sizes.join(starts, "column_name")), "column_name")
+    values = _stacked(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = values.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    running = ordered_totals(counted, [F.col("i").asc(), F.col("value").asc()], {"cum": "n"}, rank="_rank")
+    extents = running.groupBy("i").agg(F.sum("n").alias("total"), F.min(F.col("cum") - F.col("n")).alias("start"))
+    placed = running.join(F.broadcast(extents), "i")  # one row per column
     aggregates = []
-    for i, p in enumerate(probs):
+    for k, p in enumerate(probs):
         place = F.lit(float(p)) * (F.col("total") - 1)
         reached = F.col("cum") - F.col("start")
         low = F.min(F.when(reached >= F.floor(place) + 1, F.col("value")))
         high = F.min(F.when(reached >= F.ceil(place) + 1, F.col("value")))
         part = F.first(place - F.floor(place))
-        aggregates.append((low + (high - low) * part).alias(f"q{i}"))
-    return placed.groupBy("column_name").agg(*aggregates)
+        aggregates.append((low + (high - low) * part).alias(f"q{k}"))
+    return _named(placed.groupBy("i").agg(*aggregates), columns)
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

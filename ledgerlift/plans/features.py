@@ -46,10 +46,11 @@ def load_supervised(
     labels_path: str,
     transaction_paths: list[str],
     date_formats: tuple[str, ...] = (),
+    user_id_type: str | None = None,
     **options,
 ) -> DataFrame:
     """The supervised table straight from parquet files."""
-    advances = tables.normalize_advances(tables.read_parquet(spark, advances_path), date_formats)
+    advances = tables.normalize_advances(tables.read_parquet(spark, advances_path), date_formats, user_id_type)
     labels = tables.normalize_labels(tables.read_parquet(spark, labels_path))
-    tx = tables.normalize_transactions(tables.union_existing(spark, transaction_paths), date_formats)
+    tx = tables.normalize_transactions(tables.union_existing(spark, transaction_paths), date_formats, user_id_type)
     return supervised_table(advances, labels, tx, **options)

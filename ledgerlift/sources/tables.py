@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from ledgerlift.functions import normalize as N
 
-ID_COLUMNS = ("user_id", "id", "request_id", "advance_id")
 TEXT_COLUMNS = ("merchant_name", "primary_category", "detailed_category")
 
 
@@ -46,23 +45,36 @@ def union_existing(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_all([read_parquet(spark, p) for p in found])
 
 
-def normalize_transactions(raw: DataFrame, date_formats: tuple[str, ...] = ()) -> DataFrame:
+def _user_ids(df: DataFrame, user_id_type: str | None) -> DataFrame:
+    """User ids as numbers if all of them are, which takes a pass over the column, or as stated."""
+    if user_id_type is None:
+        return N.numeric_or_keep(df, ("user_id",))
+    return df.withColumn("user_id", F.col("user_id").cast(user_id_type))
+
+
+def normalize_transactions(
+    raw: DataFrame, date_formats: tuple[str, ...] = (), user_id_type: str | None = None
+) -> DataFrame:
     """Ids as text or numbers, text as UTF-8, dates as timestamps, amounts as finite doubles.
 
-    Amounts that are not numbers, or are infinite, count as 0.
+    Amounts that are not numbers, or are infinite, count as 0. State ``user_id_type`` to save the
+    pass that finds out whether all user ids are numbers.
     """
     df = N.normalize_ids(raw, ("user_id", "id"))
     df = N.normalize_text(df, TEXT_COLUMNS)
     df = N.normalize_dates(df, ("date",), date_formats)
     value = N.amount(F.col("amount"), df.schema["amount"].dataType)
     df = df.withColumn("amount", F.when(F.abs(value) < F.lit(float("inf")), value).otherwise(F.lit(0.0)))
-    return N.numeric_or_keep(df, ("user_id",))
+    return _user_ids(df, user_id_type)
 
 
-def normalize_advances(raw: DataFrame, date_formats: tuple[str, ...] = ()) -> DataFrame:
+def normalize_advances(
+    raw: DataFrame, date_formats: tuple[str, ...] = (), user_id_type: str | None = None
+) -> DataFrame:
+    """Ids as text or numbers, the underwriting date as a timestamp."""
     df = N.normalize_ids(raw, ("request_id", "user_id"))
     df = N.normalize_dates(df, ("underwritten_at",), date_formats)
-    return N.numeric_or_keep(df, ("user_id",))
+    return _user_ids(df, user_id_type)
 
 
 def normalize_labels(raw: DataFrame) -> DataFrame:
