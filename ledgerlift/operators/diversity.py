@@ -1,17 +1,19 @@
 """How varied a user's history is before an anchor date.
 
-The plan has three steps, each an aggregate with partial sums before its shuffle:
+The plan has two aggregates behind the join with the anchors, each with partial sums before its
+shuffle:
 
-1. transactions meet their anchor and are counted per (anchor, merchant, category, detail);
-2. that table is counted per (anchor, kind, value), where kind is merchant, category or detail;
-3. one row per anchor.
+1. every transaction counts for its merchant, its category and its detailed category: one row per
+   (anchor, kind, value) with a count, the first and the latest date;
+2. one row per anchor.
 
 The lookback windows share their end, the anchor date, so a merchant is in the last N days exactly
 if its latest date is. Distinct counts over windows thus become comparisons on one maximum, and no
-step counts distinct values or joins a window back.
+step counts distinct values or joins a window back. After a shuffled join all rows of a user are in
+one place, so the partial sums of step 1 shrink them to their distinct values before they move.
 
 The anchor (user and date) is kept as one struct. Aggregating on it cannot reuse the partitioning of
-the join on ``user_id``, so a user with very many rows is split over tasks by merchant, and the
+the join on ``user_id``, so a user with very many rows is spread over tasks by value, and the
 adaptive skew join stays free to split that user's side of the join.
 """
 
@@ -26,7 +28,8 @@ from ledgerlift.operators.spending import INCOME, INFLOW_CATEGORIES, TRANSFER_IN
 from ledgerlift.sources.tables import require_same_type
 
 LOOKBACKS = (30, 60, 90)
-KINDS = {"m": "merchant_name", "c": "primary_category", "d": "detailed_category"}
+MERCHANT, CATEGORY, DETAIL = 0, 1, 2
+KINDS = {MERCHANT: "merchant_name", CATEGORY: "primary_category", DETAIL: "detailed_category"}
 
 
 def join_anchors(tx: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -95,64 +98,51 @@ def _concentration(where: Column, over: str, cnt: str = "cnt") -> Column:
     return F.coalesce(F.sum(n * n) / F.nullif(base * base, F.lit(0.0)), F.lit(0.0))
 
 
-def _rollup(joined: DataFrame, lookbacks, money: bool, as_of: bool, scale: int) -> DataFrame:
-    """Step 1: counts, dates and money per (anchor, merchant, category, detail)."""
+def _by_value(joined: DataFrame, lookbacks, money: bool, as_of: bool = False, scale: int = 4) -> DataFrame:
+    """Step 1: counts, dates and money per (anchor, kind, value)."""
     date, anchor = F.col("date"), F.col("underwritten_at")
-    past = F.col("_past")
-    columns = [
-        F.count_if(past).alias("cnt"),
-        F.count(F.when(past, F.col("id"))).alias("ids"),
-        F.min(F.when(past, date)).alias("first_date"),
-        F.max(F.when(past, date)).alias("last_date"),
-    ]
+    past = F.coalesce(date < anchor, F.lit(False))
+    known_id = past & F.col("id").isNotNull()
+    columns = {
+        "past": past,
+        "past_date": F.when(past, date),
+        "ids": known_id.cast("int"),
+    }
     for n in lookbacks:
-        inside = past & (date >= days_before(anchor, n))
-        columns.append(F.count(F.when(inside, F.col("id"))).alias(f"ids_{n}"))
+        columns[f"ids_{n}"] = F.coalesce(known_id & (date >= days_before(anchor, n)), F.lit(False)).cast("int")
     if money:
-        counted = past if as_of else F.lit(True)
-        value = units(F.col("amount"), scale)
-        columns.append(F.coalesce(F.sum(F.when(counted & (F.col("amount") > 0), value)), F.lit(0)).alias("out_units"))
-        columns.append(F.coalesce(F.sum(F.when(counted & (F.col("amount") < 0), value)), F.lit(0)).alias("in_units"))
-    keyed = joined.withColumns(
-        {
-            "anchor": F.struct("user_id", "underwritten_at"),
-            "_past": F.coalesce(date < anchor, F.lit(False)),
-        }
-    )
-    return keyed.groupBy("anchor", *KINDS.values()).agg(*columns)
-
-
-def _by_value(rollup: DataFrame, lookbacks, money: bool) -> DataFrame:
-    """Step 2: the same per (anchor, kind, value). Totals ride on the category rows only."""
+        value, counted = units(F.col("amount"), scale), past if as_of else F.lit(True)
+        columns["out_units"] = F.when(counted & (F.col("amount") > 0), value).otherwise(F.lit(0))
+        columns["in_units"] = F.when(counted & (F.col("amount") < 0), value).otherwise(F.lit(0))
     entries = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in KINDS.items()]
-    totals = ["ids"] + [f"ids_{n}" for n in lookbacks] + (["out_units", "in_units"] if money else [])
-    long = rollup.select("*", F.explode(F.array(*entries)).alias("entry")).select(
-        "anchor",
-        "entry.kind",
-        "entry.value",
-        "cnt",
-        "first_date",
-        "last_date",
-        *[F.when(F.col("entry.kind") == "c", F.col(t)).alias(t) for t in totals],
+    rows = joined.select(
+        F.struct("user_id", "underwritten_at").alias("anchor"),
+        *[c.alias(name) for name, c in columns.items()],
+        F.inline(F.array(*entries)),
     )
-    return long.groupBy("anchor", "kind", "value").agg(
-        F.sum("cnt").alias("cnt"),
-        F.min("first_date").alias("first_date"),
-        F.max("last_date").alias("last_date"),
-        *[F.sum(t).alias(t) for t in totals],
+    totals = [name for name in columns if name not in ("past", "past_date")]
+    return rows.groupBy("anchor", "kind", "value").agg(
+        F.count_if("past").alias("cnt"),
+        F.min("past_date").alias("first_date"),
+        F.max("past_date").alias("last_date"),
+        *[F.sum(name).alias(name) for name in totals],
     )
 
 
 def _per_anchor(by_value: DataFrame, lookbacks, over: str, names: list[str] | None, scale: int) -> DataFrame:
-    """Step 3: one row per anchor."""
+    """Step 2: one row per anchor. Every transaction has one category row, so totals add those up."""
     known = F.col("value").isNotNull() & (F.col("cnt") > 0)
-    merchant = known & (F.col("kind") == "m")
-    category = known & (F.col("kind") == "c")
+    merchant = known & (F.col("kind") == MERCHANT)
+    category = known & (F.col("kind") == CATEGORY)
+
+    def total(c: str) -> Column:
+        return F.sum(F.when(F.col("kind") == CATEGORY, F.col(c)))
+
     columns = [
         F.count_if(merchant).alias("unique_merchants_all_time"),
         F.count_if(category).alias("unique_categories_all_time"),
-        F.count_if(known & (F.col("kind") == "d")).alias("unique_detailed_categories"),
-        F.sum("ids").alias("total_transactions_all_time"),
+        F.count_if(known & (F.col("kind") == DETAIL)).alias("unique_detailed_categories"),
+        total("ids").alias("total_transactions_all_time"),
         _concentration(merchant, over).alias("merchant_concentration"),
         F.count_if(merchant & (F.col("cnt") >= 3)).alias("recurring_merchants_count"),
         F.min("first_date").alias("first_date"),
@@ -163,13 +153,13 @@ def _per_anchor(by_value: DataFrame, lookbacks, over: str, names: list[str] | No
         columns += [
             F.count_if(merchant & recent).alias(f"unique_merchants_{n}d"),
             F.count_if(category & recent).alias(f"unique_categories_{n}d"),
-            F.sum(f"ids_{n}").alias(f"transaction_count_{n}d"),
+            total(f"ids_{n}").alias(f"transaction_count_{n}d"),
         ]
     if names is not None:
         value, spend = F.col("value"), F.col("value").isNotNull() & ~F.col("value").isin(*INFLOW_CATEGORIES)
 
         def money(c: str, where: Column) -> Column:
-            where = (F.col("kind") == "c") & where
+            where = (F.col("kind") == CATEGORY) & where
             return from_units(F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0)), scale)
 
         columns += [money("out_units", value == name).alias(f"spent:{name}") for name in names]
@@ -229,8 +219,8 @@ def diversity_features(
     if variant not in ("standard", "exploratory"):
         raise ValueError(f"unknown variant {variant}")
     over = "transactions" if variant == "standard" else "merchants"
-    rollup = _rollup(before_anchor(tx, anchors), lookbacks, money=False, as_of=True, scale=0)
-    per_anchor = _per_anchor(_by_value(rollup, lookbacks, money=False), lookbacks, over, None, 0)
+    by_value = _by_value(before_anchor(tx, anchors), lookbacks, money=False)
+    per_anchor = _per_anchor(by_value, lookbacks, over, None, 0)
     features = _with_time_features(per_anchor)
     columns = diversity_columns(lookbacks)
     if variant == "exploratory":
@@ -252,8 +242,8 @@ def user_features(
     Users without any transaction are absent. Money counts all of a user's transactions, or with
     ``as_of`` only those before the anchor.
     """
-    rollup = _rollup(join_anchors(tx, anchors), lookbacks, money=True, as_of=as_of, scale=scale)
-    per_anchor = _per_anchor(_by_value(rollup, lookbacks, money=True), lookbacks, "transactions", names, scale)
+    by_value = _by_value(join_anchors(tx, anchors), lookbacks, money=True, as_of=as_of, scale=scale)
+    per_anchor = _per_anchor(by_value, lookbacks, "transactions", names, scale)
     features = with_flow_ratios(_with_time_features(per_anchor))
     shares = [guarded_ratio(F.col(f"`spent:{n}`"), F.col("total_outflow")).alias(n) for n in names]
     return features.select(
