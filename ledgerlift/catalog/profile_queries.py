@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlift.catalog.registry import query
 from ledgerlift.catalog.views import Views, with_views
 from ledgerlift.operators import profile, split
+from ledgerlift.plans import profiling
 
 TX_COLUMNS = ("id", "user_id", "date", "amount", "merchant_name", "primary_category", "detailed_category")
 NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -122,3 +123,31 @@ def target_balance(v: Views):
 )
 def sparsity(v: Views):
     return profile.sparsity(v.table("lineitem"), list(NUMBERS))
+
+
+_TABLES = {"customer": "c_custkey", "orders": "o_custkey", "events": "user_id"}
+
+
+def _with_users(v: Views):
+    """Three of the given tables with their user key under one name."""
+    return {name: v.table(name).withColumnRenamed(key, "user_id") for name, key in _TABLES.items()}
+
+
+@query(
+    "table_shapes",
+    """SELECT 'customer' AS table_name, count(*) AS n_rows, 5 AS n_columns, count(*) * 5 AS n_cells FROM customer
+       UNION ALL SELECT 'orders', count(*), 6, count(*) * 6 FROM orders
+       UNION ALL SELECT 'events', count(*), 6, count(*) * 6 FROM events""",
+)
+def table_shapes(v: Views):
+    return profiling.table_shapes(_with_users(v))
+
+
+@query(
+    "key_counts",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(DISTINCT {k}) AS distinct_values FROM {t}" for t, k in _TABLES.items()
+    ),
+)
+def key_counts(v: Views):
+    return profiling.key_counts(_with_users(v))
