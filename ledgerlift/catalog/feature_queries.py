@@ -253,6 +253,29 @@ def diversity_features(v: Views):
     return diversity.diversity_features(v.tx(), v.fa())
 
 
+@query(
+    "diversity_all_time",
+    with_views("tx_before", f"SELECT user_id, {_diversity_select(())} FROM ({_history_sql('tx_before', 'fa', ())})"),
+)
+def diversity_all_time(v: Views):
+    return diversity.diversity_features(v.tx(), v.fa(), ())
+
+
+@query(
+    "diversity_lookback",
+    with_views(
+        "tx_before",
+        """SELECT fa.user_id, count(DISTINCT merchant_name) AS unique_merchants_60d,
+           count(DISTINCT primary_category) AS unique_categories_60d, count(id) AS transaction_count_60d
+           FROM fa LEFT JOIN (SELECT * FROM tx_before WHERE date >= underwritten_at - INTERVAL 60 DAY) t
+             ON fa.user_id = t.user_id GROUP BY fa.user_id""",
+    ),
+)
+def diversity_lookback(v: Views):
+    window = ["unique_merchants_60d", "unique_categories_60d", "transaction_count_60d"]
+    return diversity.diversity_features(v.tx(), v.fa(), (60,)).select("user_id", *window)
+
+
 @query(
     "diversity_exploratory",
     with_views(

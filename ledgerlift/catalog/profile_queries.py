@@ -33,9 +33,23 @@ def shape(v: Views):
     return profile.shape(v.tx())
 
 
-@query("schema_listing")
+TX_TYPES = ("bigint", "bigint", "timestamp_ntz", "double", "string", "string", "string")
+
+
+@query(
+    "schema_listing",
+    with_views(
+        "tx",
+        " UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS type, avg(CAST({c} IS NULL AS INTEGER)) AS null_fraction FROM tx"
+            for i, (c, t) in enumerate(zip(TX_COLUMNS, TX_TYPES))
+        ),
+    ),
+)
 def schema_listing(v: Views):
-    return profile.schema_listing(v.tx())
+    """Columns and types, with how much of each is missing."""
+    tx = v.tx()
+    return profile.schema_listing(tx).join(profile.null_fraction(tx), "column_name")
 
 
 @query(

@@ -98,7 +98,7 @@ def _concentration(where: Column, over: str, cnt: str = "cnt") -> Column:
     return F.coalesce(F.sum(n * n) / F.nullif(base * base, F.lit(0.0)), F.lit(0.0))
 
 
-def _by_value(joined: DataFrame, lookbacks, money: bool, as_of: bool = False, scale: int = 4) -> DataFrame:
+def _by_value(joined: DataFrame, lookbacks, money: bool, scale: int = 4) -> DataFrame:
     """Step 1: counts, dates and money per (anchor, kind, value)."""
     date, anchor = F.col("date"), F.col("underwritten_at")
     past = F.coalesce(date < anchor, F.lit(False))
@@ -111,9 +111,9 @@ def _by_value(joined: DataFrame, lookbacks, money: bool, as_of: bool = False, sc
     for n in lookbacks:
         columns[f"ids_{n}"] = F.coalesce(known_id & (date >= days_before(anchor, n)), F.lit(False)).cast("int")
     if money:
-        value, counted = units(F.col("amount"), scale), past if as_of else F.lit(True)
-        columns["out_units"] = F.when(counted & (F.col("amount") > 0), value).otherwise(F.lit(0))
-        columns["in_units"] = F.when(counted & (F.col("amount") < 0), value).otherwise(F.lit(0))
+        value = units(F.col("amount"), scale)
+        columns["out_units"] = F.when(F.col("amount") > 0, value).otherwise(F.lit(0))
+        columns["in_units"] = F.when(F.col("amount") < 0, value).otherwise(F.lit(0))
     entries = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in KINDS.items()]
     rows = joined.select(
         F.struct("user_id", "underwritten_at").alias("anchor"),
@@ -239,10 +239,11 @@ def user_features(
 ) -> DataFrame:
     """Spending shares, diversity and flow of the anchored users from one scan of the transactions.
 
-    Users without any transaction are absent. Money counts all of a user's transactions, or with
-    ``as_of`` only those before the anchor.
+    Users without any counted transaction are absent. Money counts all of a user's transactions, or
+    with ``as_of`` only those before the anchor.
     """
-    by_value = _by_value(join_anchors(tx, anchors), lookbacks, money=True, as_of=as_of, scale=scale)
+    rows = before_anchor(tx, anchors) if as_of else join_anchors(tx, anchors)
+    by_value = _by_value(rows, lookbacks, money=True, scale=scale)
     per_anchor = _per_anchor(by_value, lookbacks, "transactions", names, scale)
     features = with_flow_ratios(_with_time_features(per_anchor))
     shares = [guarded_ratio(F.col(f"`spent:{n}`"), F.col("total_outflow")).alias(n) for n in names]
