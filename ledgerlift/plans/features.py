@@ -8,6 +8,7 @@ from ledgerlift.operators.cohort import first_per_key, label_join
 from ledgerlift.operators.diversity import LOOKBACKS, user_features
 from ledgerlift.operators.spending import Categories, spending_categories
 from ledgerlift.operators.supervised import assemble, labelled_users, target_column
+from ledgerlift.session import stage
 from ledgerlift.sources import tables
 
 
@@ -28,12 +29,15 @@ def supervised_table(
 ) -> DataFrame:
     """``user_id, request_id, target`` and all features, one row per labelled user and label.
 
-    Only the transactions of labelled users are aggregated; the others cannot reach the result.
+    Only the transactions of labelled users are aggregated; the others cannot reach the result. The
+    labelled users are staged first, so Spark knows their size when it plans the join with the
+    transactions: few users are broadcast and the transactions stay where they are.
     ``as_of`` also cuts spending and flow at the anchor date.
     """
     target = target or target_column(labels)
     categories = categories or spending_categories(tx)
     joined = label_join(first_advances(advances), labels)
+    joined = stage(joined.select("user_id", "request_id", "underwritten_at", target), "cohort")
     users = labelled_users(joined, target, ("user_id", "request_id"), drop_null_labels)
     anchors = joined.select("user_id", "underwritten_at").distinct()
     names = categories.names if categories.any_outflow else []
