@@ -27,6 +27,7 @@ from ledgerlift.operators.flow import FLOW_COLUMNS, with_flow_ratios
 from ledgerlift.operators.spending import INCOME, INFLOW_CATEGORIES, TRANSFER_IN
 from ledgerlift.sources.tables import require_same_type
 
+# The lookback windows in days.
 LOOKBACKS = (30, 60, 90)
 MERCHANT, CATEGORY, DETAIL = 0, 1, 2
 KINDS = {MERCHANT: "merchant_name", CATEGORY: "primary_category", DETAIL: "detailed_category"}
@@ -184,6 +185,8 @@ def _with_time_features(df: DataFrame) -> DataFrame:
 
 
 def diversity_columns(lookbacks=LOOKBACKS) -> list[str]:
+    """Output columns in order."""
+    # The published feature names.
     columns = [
         "unique_merchants_all_time",
         "unique_categories_all_time",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.arithmetic import clip, exact_sum, guarded_ratio
 from ledgerlift.operators.spending import INCOME, INFLOW_CATEGORIES, TRANSFER_IN, is_outflow
 
+# The published feature names.
 FLOW_COLUMNS = (
     "total_outflow",
     "total_inflow",
