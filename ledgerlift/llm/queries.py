@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.llm.common import table
+from ledgerlift.llm.mixing import Mix, mix_sources
+from ledgerlift.llm.packing import pack
 from ledgerlift.llm.pii import pii_digest
+from ledgerlift.llm.topk import top_k
 from ledgerlift.llm.warc import warc_round_trip
 
 
@@ -19,9 +22,25 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), Mix(most_repeats=2.0))
+    return mixed.select("row.doc_id", "source", "tokens", "epoch", "block", "place")
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_pii": op3_pii,
+    "op4_mixing": op4_mixing,
+    "op8_topk": op8_topk,
+    "op9_packing": op9_packing,
 }
 
 SQL: dict[str, str] = {
@@ -33,4 +52,38 @@ SQL: dict[str, str] = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p LEFT JOIN g ON p.html = g.html
     """,
+    "op4_mixing": r"""
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+                   FROM documents),
+             t AS (SELECT source, sum(tokens)::BIGINT AS total,
+                          sum(tokens) / (SELECT sum(tokens)::DOUBLE FROM d) AS share FROM d GROUP BY source),
+             a AS (SELECT min(p) / 1048576.0::DOUBLE AS a FROM range(0, 1048577) r(p)
+                   WHERE pow((SELECT max(share) / min(share) FROM t), 1 - p / 1048576.0::DOUBLE) <= 2.0),
+             w AS (SELECT source, total, pow(share, a) AS power FROM t, a),
+             n AS (SELECT ceil(max(total / power) * sum(power) - 1e-6) AS tokens, sum(power) AS z FROM w),
+             b AS (SELECT source, total, greatest(floor(power / z * tokens + 1e-6)::BIGINT, total) AS budget,
+                          ceil(tokens / 1048576)::BIGINT AS blocks FROM w, n),
+             e AS (SELECT d.*, total, budget, blocks, epoch,
+                          ('0x' || md5('0:' || epoch || ':' || doc_id)[1:15])::BIGINT AS hash
+                   FROM d JOIN b USING (source), range(0, 100) r(epoch)
+                   WHERE epoch < greatest(1, ceil(budget / total::DOUBLE))),
+             s AS (SELECT *, total * epoch + coalesce(sum(tokens) OVER (
+                          PARTITION BY source, epoch ORDER BY hash, doc_id::VARCHAR
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM e),
+             k AS (SELECT *, least(floor(start / budget::DOUBLE * blocks)::BIGINT, blocks - 1) AS block FROM s
+                   WHERE start < budget OR epoch = 0)
+        SELECT doc_id, source, tokens, epoch, block,
+               row_number() OVER (PARTITION BY block ORDER BY hash, doc_id::VARCHAR, source) - 1 AS place
+        FROM k
+    """,
+    "op8_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                          list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
 }
