@@ -10,6 +10,7 @@ from ledgerlift.llm.common import table
 from ledgerlift.llm.mixing import Mix, mix_sources
 from ledgerlift.llm.packing import pack
 from ledgerlift.llm.pii import pii_digest
+from ledgerlift.llm.simhash import edited_fingerprints
 from ledgerlift.llm.topk import top_k
 from ledgerlift.llm.warc import warc_round_trip
 
@@ -27,6 +28,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "source", "tokens", "epoch", "block", "place")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
+    "op5_simhash": op5_simhash,
     "op8_topk": op8_topk,
     "op9_packing": op9_packing,
 }
