@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import table
+from ledgerlift.llm.line_dedup import remove_boilerplate
 from ledgerlift.llm.mixing import Mix, mix_sources
 from ledgerlift.llm.packing import pack
 from ledgerlift.llm.pii import pii_digest
@@ -19,6 +21,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).drop("target_uri")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = remove_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return clean.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -42,6 +49,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_line_dedup": op2_line_dedup,
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
@@ -58,6 +66,16 @@ SQL: dict[str, str] = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p LEFT JOIN g ON p.html = g.html
     """,
+    "op2_line_dedup": r"""
+        WITH l AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
+             b AS (SELECT trim(line, ' ') AS bad FROM l WHERE trim(line, ' ') <> '' GROUP BY ALL
+                   HAVING count(DISTINCT source) >= 10),
+             m AS (SELECT * FROM l LEFT JOIN b ON trim(line, ' ') = bad)
+        SELECT doc_id, count(*) AS n_lines, count(bad) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (bad IS NULL), '')) AS kept_sha256
+        FROM m GROUP BY doc_id
+    """,
     "op4_mixing": r"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
                    FROM documents),
