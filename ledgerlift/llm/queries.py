@@ -11,6 +11,7 @@ from ledgerlift.llm.common import table
 from ledgerlift.llm.line_dedup import remove_boilerplate
 from ledgerlift.llm.mixing import Mix, mix_sources
 from ledgerlift.llm.packing import pack
+from ledgerlift.llm.parity_join import near_duplicates
 from ledgerlift.llm.pii import pii_digest
 from ledgerlift.llm.simhash import edited_fingerprints
 from ledgerlift.llm.topk import top_k
@@ -47,6 +48,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_line_dedup": op2_line_dedup,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op8_topk": op8_topk,
     "op9_packing": op9_packing,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL: dict[str, str] = {
