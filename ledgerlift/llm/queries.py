@@ -14,6 +14,7 @@ from ledgerlift.llm.packing import pack
 from ledgerlift.llm.parity_join import near_duplicates
 from ledgerlift.llm.pii import pii_digest
 from ledgerlift.llm.simhash import edited_fingerprints
+from ledgerlift.llm.suffix_dedup import remove_repeats
 from ledgerlift.llm.topk import top_k
 from ledgerlift.llm.warc import warc_round_trip
 
@@ -40,6 +41,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_topk": op8_topk,
     "op9_packing": op9_packing,
     "op10_ngram_join": op10_ngram_join,
