@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import table
+from ledgerlift.llm.cotraining import with_quality
 from ledgerlift.llm.line_dedup import remove_boilerplate
 from ledgerlift.llm.mixing import Mix, mix_sources
 from ledgerlift.llm.packing import pack
@@ -41,6 +42,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = with_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "p_text", "p_meta", "p", "keep")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_topk": op8_topk,
     "op9_packing": op9_packing,
