@@ -126,6 +126,18 @@ def spending_shares(v: Views):
     return spending.spending_shares(v.tx())
 
 
+@query(
+    "spending_shares_long",
+    with_views("outflow", """SELECT user_id, primary_category, round(amount / CASE WHEN total = 0 THEN 1 ELSE total END, 9) AS share
+        FROM (SELECT user_id, primary_category, CAST(sum(amount) AS DOUBLE) AS amount,
+                     CAST(sum(sum(amount)) OVER (PARTITION BY user_id) AS DOUBLE) AS total
+              FROM outflow GROUP BY user_id, primary_category)"""),
+)
+def spending_shares_long(v: Views):
+    long = spending.spending_shares_long(v.tx())
+    return long.withColumn("share", F.round("share", 9))
+
+
 @query("spending_empty", "SELECT DISTINCT o_custkey AS user_id, CAST(0 AS DOUBLE) AS total_spending FROM orders")
 def spending_empty(v: Views):
     all_in = v.tx().withColumn("amount", -F.abs("amount"))

@@ -60,6 +60,17 @@ def distinct_counts(v: Views):
     return profile.distinct_counts(v.tx())
 
 
+@query(
+    "approximate_distinct_within",
+    with_views("tx", "SELECT unnest(['id', 'user_id', 'date', 'amount', 'merchant_name', 'primary_category', 'detailed_category']) AS column_name, true AS within"),
+)
+def approximate_distinct_within(v: Views):
+    """The approximate counts are within 15 % of the exact ones."""
+    exact = profile.distinct_counts(v.tx()).withColumnRenamed("distinct_values", "exact")
+    both = profile.distinct_counts(v.tx(), approximate=True).join(exact, "column_name")
+    return both.select("column_name", (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.15 * F.col("exact")).alias("within"))
+
+
 @query("approximate_distinct_counts")
 def approximate_distinct_counts(v: Views):
     return profile.distinct_counts(v.tx(), approximate=True)
@@ -82,12 +93,11 @@ def describe(v: Views):
 
 @query(
     "histogram",
-    """SELECT CAST(bucket AS INTEGER) AS bucket, lo + bucket * width AS low, lo + bucket * width + width AS high,
-         count(*) AS n
-       FROM (SELECT lo, width, least(floor((l_extendedprice - lo) / width), 19) AS bucket
-             FROM lineitem, (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS width
-                             FROM lineitem))
-       GROUP BY bucket, lo, width""",
+    """WITH w AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS width FROM lineitem),
+       c AS (SELECT least(floor((l_extendedprice - lo) / width), 19) AS place, count(*) AS found FROM lineitem, w GROUP BY place),
+       b AS (SELECT CAST(bucket AS INTEGER) AS bucket, lo, width FROM range(20) r(bucket), w)
+       SELECT bucket, lo + bucket * width AS low, lo + bucket * width + width AS high, coalesce(found, 0) AS n
+       FROM b LEFT JOIN c ON bucket = place""",
 )
 def histogram(v: Views):
     return profile.histogram(v.table("lineitem"), "l_extendedprice", 20)

@@ -152,6 +152,18 @@ def stratified_split(v: Views):
     return split.stratified_split(v.scored())
 
 
+@query(
+    "sampled_split",
+    with_views(
+        "scored",
+        """SELECT id, y, p, CASE WHEN ('0x' || md5(id || '|42')[1:8])::BIGINT / 4294967296.0::DOUBLE < 0.2::DOUBLE
+           THEN 'test' ELSE 'train' END AS split FROM scored""",
+    ),
+)
+def sampled_split(v: Views):
+    return split.sampled_split(v.scored())
+
+
 @query(
     "stratified_folds",
     with_views("scored", f"SELECT id, y, p, CAST((place - 1) % 5 AS INTEGER) AS fold FROM ({_PLACED})"),

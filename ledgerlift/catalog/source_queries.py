@@ -29,6 +29,35 @@ def union_transactions(v: Views):
     return tables.union_existing(spark, [f"{base}/in", f"{base}/absent", f"{base}/out"])
 
 
+@query(
+    "union_mixed_types",
+    """SELECT lower(hex('z' || o_custkey)) AS user_id, '1' AS id,
+         CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 7 <> 1 THEN date_trunc('day', o_orderdate) END AS date,
+         CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 5 <> 1 THEN o_totalprice ELSE 0 END AS amount
+       FROM orders""",
+)
+def union_mixed_types(v: Views):
+    """One file with binary ids, timestamps and doubles, one with literals, text dates and text amounts with junk."""
+    spark, base = v.spark, staging_path(v.spark, "mixed")
+    orders = v.table("orders")
+    user, day = F.concat(F.lit("z"), F.col("o_custkey").cast("string")), F.date_trunc("day", "o_orderdate")
+    orders.where("o_orderkey % 2 = 0").select(
+        user.cast("binary").alias("user_id"),
+        F.col("o_orderkey").alias("id"),
+        day.cast("timestamp_ntz").alias("date"),
+        F.col("o_totalprice").alias("amount"),
+    ).write.parquet(f"{base}/bytes")
+    escaped = F.regexp_replace(F.hex(user.cast("binary")), "(..)", r"\\x$1")
+    orders.where("o_orderkey % 2 <> 0").select(
+        F.concat(F.lit("b'"), escaped, F.lit("'")).alias("user_id"),
+        F.concat(F.lit("t"), "o_orderkey").alias("id"),
+        F.when(F.col("o_orderkey") % 7 == 1, "junk").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(F.col("o_orderkey") % 5 == 1, "junk").otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+    ).write.parquet(f"{base}/text")
+    files = tables.read_existing(spark, [f"{base}/bytes", f"{base}/absent", f"{base}/text"])
+    return tables.normalize_transaction_files([tables.presence_only(f, "id") for f in files])
+
+
 @query("csv_round_trip", VIEW_SQL["adv"])
 def csv_round_trip(v: Views):
     path = staging_path(v.spark, "csv")

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 # The grammar of a Python bytes literal in single quotes and its named escapes.
 BYTE_ESCAPE = r"(?s)\\x[0-9A-Fa-f]{2}|\\[\x01-\x77\x79-\x7f]"
 BYTE_PLAIN = r"^[\x01-\x09\x0b\x0c\x0e-\x26\x28-\x5b\x5d-\x7f]*$"
+BYTE_ALL_HEX = r"b'(?:\\x[0-9A-Fa-f]{2})*+'"
 BYTE_TOKEN = r"(?s)\\x[0-9A-Fa-f]{2}|\\[0-7]{1,3}|\\.|[^\\]+"
 NAMED_ESCAPES = {
     "\\\\": "5c",
@@ -26,6 +27,7 @@ NAMED_ESCAPES = {
 # Plain decimal numbers. Java would also accept suffixes such as "12d".
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+ZONED_TEXT = r"[0-9:.]\s*(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2})\s*$"
 SPECIAL_NUMBER_TEXT = r"^\s*(?:nan|[+-]?inf(?:inity)?)\s*$"
 
 
@@ -54,7 +56,12 @@ def hex_id(c: Column, dtype: T.DataType) -> Column:
         quoted = c.startswith("b'") & c.endswith("'") & (F.length(c) > 2)
         # Without its escapes a literal is plain text; a bad escape leaves its backslash behind.
         well_formed = F.regexp_replace(body, BYTE_ESCAPE, "").rlike(BYTE_PLAIN)
-        return F.when(F.when(quoted, well_formed), decoded).otherwise(c)
+        # Most literals are all escapes or have none; only mixed ones are cut into tokens.
+        all_hex = quoted & c.rlike(rf"\A{BYTE_ALL_HEX}\z")
+        plain = quoted & ~F.contains(body, F.lit("\\")) & body.rlike(BYTE_PLAIN)
+        out = F.when(all_hex, F.lower(F.replace(body, F.lit("\\x"), F.lit(""))))
+        out = out.when(plain, F.lower(F.hex(body)))
+        return out.when(F.when(quoted, well_formed), decoded).otherwise(c)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(c), c.cast("string"))
     return c.cast("string")
@@ -71,15 +78,25 @@ def utf8_text(c: Column, dtype: T.DataType) -> Column:
 def naive_timestamp(c: Column, dtype: T.DataType, formats: tuple[str, ...] = ()) -> Column:
     """A timestamp, with junk turned into null. Each row is parsed on its own.
 
-    Timestamps pass unchanged. Text is read as ISO first, then by each of ``formats``.
+    Timestamps pass unchanged. Numbers are nanoseconds since 1970. Text is read as ISO first, then by
+    each of ``formats``; a time with a zone is converted to UTC. Types that cannot be dates raise.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
-    if not isinstance(dtype, T.StringType):
+    if isinstance(dtype, T.NumericType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        whole = known(c, dtype).cast("bigint")
+        # Exact: a quotient as a double would round the microseconds.
+        micros = ((whole - F.pmod(whole, F.lit(1000))) / F.lit(1000)).cast("bigint")
+        return F.timestamp_add("MICROSECOND", micros, epoch)
+    if isinstance(dtype, T.NullType):
         return F.lit(None).cast("timestamp_ntz")
-    tries = [c.try_cast("timestamp_ntz")]
+    if not isinstance(dtype, T.StringType):
+        raise TypeError(f"{dtype.simpleString()} cannot be a date")
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    tries = [F.when(c.rlike(ZONED_TEXT), zoned).otherwise(c.try_cast("timestamp_ntz"))]
     tries += [F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*tries)
 
@@ -101,6 +118,11 @@ def amount(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(number(c, dtype), F.lit(0.0))
 
 
+def known(c: Column, dtype: T.DataType) -> Column:
+    """The value, with NaN as null."""
+    return F.when(~F.isnan(c), c) if isinstance(dtype, (T.DoubleType, T.FloatType)) else c
+
+
 def _present(df: DataFrame, columns) -> list[str]:
     return [c for c in columns if c in df.columns]
 

@@ -6,6 +6,7 @@ Boosted trees are Spark's, and the RBF-kernel machine is a linear one on random
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.operators.scale import column_scales
 from ledgerlift.operators.split import class_counts, shuffle_key, stratified_folds
-from ledgerlift.session import stage
+from ledgerlift.session import shared_dir, stage
 
 LEARNERS = ("rf", "gbt_depth", "gbt_leaf", "svc")
 
@@ -47,7 +48,10 @@ class Sizes:
     forest_depth: int = 30
     leaf_depth: int = 5
     random_features: int = 500
-    svc_iterations: int = 100
+    svc_iterations: int = 1000
+    # The published learners bin at 255 or split exactly; the leaf-wise one needs 20 rows in a leaf.
+    max_bins: int = 256
+    leaf_min_rows: int = 20
     svc_folds: int = 5
     parallelism: int = 4
 
@@ -55,6 +59,7 @@ class Sizes:
 SMALL = Sizes(
     forest_trees=10, forest_depth=4, boost_rounds=5, boost_rate=0.3, boost_depth=3, leaf_depth=3,
     random_features=64, svc_iterations=10, svc_folds=2, folds=2, meta_iterations=100, parallelism=8,
+    max_bins=32, leaf_min_rows=1,
 )
 
 
@@ -88,7 +93,7 @@ def feature_vector(columns: list[str], scales: dict[str, float] | None = None) -
 
 def with_weights(df: DataFrame, label: str) -> DataFrame:
     """Add ``w_balanced`` and ``w_positive`` from the class counts of these rows."""
-    counts = dict(class_counts(df, label))
+    counts = {r["class"]: r["n"] for r in class_counts(df.where(F.col(label).isin(0, 1)), label).collect()}
     total = sum(counts.values())
     rate = counts.get(1, 0) / max(total, 1)
     balanced = F.lit(1.0)
@@ -117,15 +122,23 @@ def _tree_learner(name: str, model) -> Learner:
 def fit_forest(df: DataFrame, label: str, sizes: Sizes, weight: str | None = "w_balanced") -> Learner:
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol=weight, numTrees=sizes.forest_trees,
-        maxDepth=sizes.forest_depth, minInstancesPerNode=sizes.forest_min_leaf, seed=sizes.seed,
+        maxDepth=sizes.forest_depth, maxBins=sizes.max_bins, minInstancesPerNode=sizes.forest_min_leaf, seed=sizes.seed,
     )
     return _tree_learner("rf", forest.fit(df))
 
 
-def fit_boosted(df: DataFrame, label: str, sizes: Sizes, name: str, depth: int, weight: str | None) -> Learner:
+def fit_boosted(
+    df: DataFrame, label: str, sizes: Sizes, name: str, depth: int, weight: str | None,
+    min_rows: int = 1, subsample: float | None = None,
+) -> Learner:
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        # Boosting cuts its lineage every few rounds, but only if the context has a folder for it.
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     boosted = GBTClassifier(
         featuresCol="features", labelCol=label, maxIter=sizes.boost_rounds, stepSize=sizes.boost_rate,
-        maxDepth=depth, subsamplingRate=sizes.boost_subsample, featureSubsetStrategy=sizes.boost_features,
+        maxDepth=depth, maxBins=sizes.max_bins, minInstancesPerNode=min_rows,
+        subsamplingRate=sizes.boost_subsample if subsample is None else subsample, featureSubsetStrategy=sizes.boost_features,
         seed=sizes.seed,
     )
     if weight is not None:
@@ -181,13 +194,16 @@ def fit_svc(df: DataFrame, label: str, sizes: Sizes, id: str, weight: str = "w_b
     def fold_margins(k: int) -> DataFrame:
         return margin(svm.fit(folded.where(F.col("_part") != k)), folded.where(F.col("_part") == k))
 
-    margins = [fold_margins(k) for k in range(sizes.svc_folds)]
+    tasks = [lambda k=k: fold_margins(k) for k in range(sizes.svc_folds)]
+    margins = _run_all(df.sparkSession, tasks, sizes.parallelism)
     held_out = reduce(DataFrame.unionByName, margins).withColumn("_m", array_to_vector(F.array("_margin")))
     platt = LogisticRegression(
         featuresCol="_m", labelCol=label, weightCol=weight, standardization=False, maxIter=sizes.meta_iterations
     ).fit(held_out)
     slope, shift = float(platt.coefficients[0]), float(platt.intercept)
     final = svm.fit(mapped)
+    if final.summary().totalIterations >= sizes.svc_iterations:
+        warnings.warn(f"the kernel machine has not converged in {sizes.svc_iterations} iterations", stacklevel=2)
 
     def with_margin(rows: DataFrame) -> DataFrame:
         rows = rows.withColumn("_fourier", array_to_vector(fourier(vector_to_array("features"))))
@@ -208,7 +224,10 @@ def base_fits(df: DataFrame, label: str, id: str, sizes: Sizes, boost_weight: st
     return {
         "rf": lambda: fit_forest(df, label, sizes),
         "gbt_depth": lambda: fit_boosted(df, label, sizes, "gbt_depth", sizes.boost_depth, boost_weight),
-        "gbt_leaf": lambda: fit_boosted(df, label, sizes, "gbt_leaf", sizes.leaf_depth, "w_balanced"),
+        # Its published row subsample has no effect without a bagging frequency, so all rows are used.
+        "gbt_leaf": lambda: fit_boosted(
+            df, label, sizes, "gbt_leaf", sizes.leaf_depth, "w_balanced", sizes.leaf_min_rows, 1.0
+        ),
         "svc": lambda: fit_svc(df, label, sizes, id),
     }
 

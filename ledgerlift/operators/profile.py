@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,17 +72,31 @@ def schema_listing(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column.
+    """Distinct values per column, null and NaN aside; 0 where there are none.
 
     Exact counts go through one row per distinct (column, value), so no task holds a whole column;
     ``approximate`` uses sketches and needs no shuffle of values.
     """
     names = columns or df.columns
     if approximate:
-        wide = df.agg(*[F.approx_count_distinct(_c(c)).alias(f"d{i}") for i, c in enumerate(names)])
+        wide = df.agg(*[F.approx_count_distinct(F.when(~_missing(df, c), _c(c))).alias(f"d{i}") for i, c in enumerate(names)])
         return _long(wide, names, {"distinct_values": "d"})
-    values = _stacked(df, names, "string").distinct()
-    return _named(values.groupBy("i").agg(F.count("value").alias("distinct_values")), names)
+    # Type by type: values compare as what they are, so 0.0 and -0.0 are one value, and NaN is missing.
+    # Types without an order of their own in a stack (arrays, structs) are compared as text.
+    kinds: dict[str, list[int]] = {}
+    for i, name in enumerate(names):
+        kind = df.schema[name].dataType
+        kinds.setdefault(kind.simpleString() if isinstance(kind, T.AtomicType) else "string", []).append(i)
+    counted = []
+    for kind, places in kinds.items():
+        columns = [F.when(~_missing(df, names[i]), _c(names[i])).cast(kind).alias(str(i)) for i in places]
+        rows = df.select(*columns).unpivot([], [str(i) for i in places], "i", "value").where("value is not null")
+        rows = rows.select(F.col("i").cast("int").alias("i"), "value").distinct()
+        counted.append(rows.groupBy("i").agg(F.count("value").alias("distinct_values")))
+    found = reduce(DataFrame.unionByName, counted)
+    every = df.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("i"))
+    out = every.join(F.broadcast(found), "i", "left")  # one row per column
+    return _named(out.select("i", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values")), names)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataFrame:
@@ -128,14 +144,16 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame:
-    """Rows per equal-width bucket between the minimum and the maximum; empty buckets are absent."""
-    value = _c(column).cast("double")
+    """Rows per equal-width bucket between the minimum and the maximum, empty ones included. NaN is missing."""
+    value = F.when(~_missing(df, column), _c(column).cast("double"))
     low, high = df.agg(F.min(value), F.max(value)).first()
     if low is None:
         return df.select(F.lit(0).alias("bucket"), value.alias("low"), value.alias("high"), F.lit(0).cast("bigint").alias("n")).where(F.lit(False))
     width = (high - low) / buckets or 1.0
     bucket = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
     counts = df.where(value.isNotNull()).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    every = df.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    counts = every.join(F.broadcast(counts), "bucket", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     edge = F.lit(low) + F.col("bucket") * F.lit(width)
     return counts.select("bucket", edge.alias("low"), (edge + F.lit(width)).alias("high"), "n")
 
@@ -149,13 +167,17 @@ def outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     reach = factor * (high - low)
     value = _c(column).cast("double")
     flag = (value < F.lit(low - reach)) | (value > F.lit(high + reach))
-    return df.withColumn("is_outlier", F.coalesce(flag, F.lit(False)))
+    return df.withColumn("is_outlier", F.coalesce(flag & ~_missing(df, column), F.lit(False)))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, from one aggregate."""
+    """Pearson correlation of every pair of columns, from one aggregate, over rows where both are known."""
+
+    def value(c: str) -> Column:
+        return F.when(~_missing(df, c), _c(c).cast("double"))
+
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(*[F.corr(_c(a).cast("double"), _c(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[F.corr(value(a), value(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)
     ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlift.functions.normalize import known
 from ledgerlift.session import stage
 
 
@@ -50,14 +51,18 @@ def ordered_totals(
     return out.select(*df.columns, rank, *sums)
 
 
+def _known(df: DataFrame, column: str) -> Column:
+    return known(F.col(column), df.schema[column].dataType)
+
+
 def global_rank(scored: DataFrame, score: str = "p", id: str = "id") -> DataFrame:
-    """Rank by score, best first, ties by id."""
-    return ordered_totals(scored, [F.col(score).desc_nulls_last(), F.col(id).asc_nulls_last()])
+    """Rank by score, best first, ties by id. Missing scores and NaN come last."""
+    return ordered_totals(scored, [_known(scored, score).desc_nulls_last(), F.col(id).asc_nulls_last()])
 
 
 def cumulative_precision(scored: DataFrame, label: str = "y", score: str = "p", id: str = "id") -> DataFrame:
     """Precision among the rows ranked so far, for every row."""
     ranked = ordered_totals(
-        scored, [F.col(score).desc_nulls_last(), F.col(id).asc_nulls_last()], {"positives": label}
+        scored, [_known(scored, score).desc_nulls_last(), F.col(id).asc_nulls_last()], {"positives": label}
     )
     return ranked.withColumn("precision", F.col("positives").cast("double") / F.col("rank"))

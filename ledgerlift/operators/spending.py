@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.functions.arithmetic import exact_sum, guarded_ratio
@@ -77,3 +77,10 @@ def spending_shares(
     wide = spending_pivot(tx, categories.names, scale)
     shares = [guarded_ratio(F.col(f"`{n}`"), F.col("total_spending")).alias(n) for n in categories.names]
     return wide.select("user_id", *shares, "total_spending")
+
+
+def spending_shares_long(tx: DataFrame, scale: int = 4) -> DataFrame:
+    """The shares as rows (user_id, primary_category, share): any number of categories will do."""
+    sums = user_category_sums(tx, scale)
+    total = F.sum("amount").over(Window.partitionBy("user_id"))  # one row per user and category
+    return sums.select("user_id", "primary_category", guarded_ratio(F.col("amount"), total).alias("share"))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerlift.operators.rank import ordered_totals
 
-MAX_CLASSES = 1000
-
 
 def shuffle_key(id: str, seed: int) -> Column:
     """A pseudo-random order key that depends only on the id and the seed."""
@@ -18,43 +16,47 @@ def shuffle_key(id: str, seed: int) -> Column:
 def _shuffled(df: DataFrame, label: str, id: str, seed: int) -> DataFrame:
     """Rows numbered class by class, in pseudo-random order inside each class."""
     keyed = df.withColumn("_shuffle", shuffle_key(id, seed))
-    ranked = ordered_totals(keyed, [F.col(label).asc(), F.col("_shuffle").asc(), F.col(id).asc()], rank="_place")
+    ranked = ordered_totals(keyed, [F.col(label).asc_nulls_first(), F.col("_shuffle").asc(), F.col(id).asc()], rank="_place")
     return ranked.drop("_shuffle")
 
 
-def class_counts(df: DataFrame, label: str) -> list[tuple]:
-    """Rows per class in class order. More classes than ``MAX_CLASSES`` is an error."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
-    return sorted((r[label], r["n"]) for r in rows)
+def class_counts(df: DataFrame, label: str) -> DataFrame:
+    """Rows per class: ``class`` and ``n``. A null label is a class of its own."""
+    return df.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+
 
+def _train_places(counts: DataFrame, test_size: float) -> DataFrame:
+    """Per class, the places (of all rows in class order) of its training rows: ``first`` to ``last``.
 
-def _train_sizes(counts: list[tuple], test_size: float) -> dict:
-    """Training rows per class: whole parts first, what is left to the largest remainders."""
-    total = sum(n for _, n in counts)
-    n_test = -int(-(total * test_size) // 1)
-    wanted = total - n_test
-    exact = {c: n / total * wanted for c, n in counts}
-    sizes = {c: int(x) for c, x in exact.items()}
-    by_remainder = sorted(counts, key=lambda cn: (-(exact[cn[0]] - sizes[cn[0]]), cn[0]))
-    for c, _ in by_remainder[: wanted - sum(sizes.values())]:
-        sizes[c] += 1
-    return sizes
+    Training rows per class are whole parts first, what is left goes to the largest remainders. The
+    windows run over one row per class.
+    """
+    everything, in_order = Window.partitionBy(), Window.orderBy(F.col("class").asc_nulls_first())
+    rows = counts.withColumn("total", F.sum("n").over(everything))
+    wanted = F.col("total") - F.ceil(F.col("total") * F.lit(float(test_size)))
+    rows = rows.withColumn("wanted", wanted).withColumn("exact", F.col("n") / F.col("total") * F.col("wanted"))
+    rows = rows.withColumn("whole", F.floor("exact"))
+    by_rest = Window.orderBy(F.desc(F.col("exact") - F.col("whole")), F.col("class").asc_nulls_first())
+    rows = rows.withColumns(
+        {
+            "over": F.col("wanted") - F.sum("whole").over(everything),
+            "rest": F.row_number().over(by_rest),
+            "last": F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    size = F.col("whole") + (F.col("rest") <= F.col("over")).cast("int")
+    return rows.select("class", (F.col("last") - size + 1).alias("first"), "last")
 
 
 def stratified_split(
     df: DataFrame, label: str = "y", id: str = "id", test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``split`` ('train' or 'test'), with the share of every class kept to within one row."""
-    counts = class_counts(df, label)
-    sizes = _train_sizes(counts, test_size)
-    is_train, start = F.lit(False), 0
-    for c, n in counts:
-        is_train = is_train | F.col("_place").between(start + n - sizes[c] + 1, start + n)
-        start += n
-    placed = _shuffled(df, label, id, seed)
-    return placed.withColumn("split", F.when(is_train, "train").otherwise("test")).drop("_place")
+    places = _train_places(class_counts(df, label), test_size)
+    places = places.select(*[F.col(c).alias(f"_{c}") for c in places.columns])
+    placed = _shuffled(df, label, id, seed).join(places, F.col(label).eqNullSafe(F.col("_class")))
+    is_train = F.col("_place").between(F.col("_first"), F.col("_last"))
+    return placed.select(*df.columns, F.when(is_train, "train").otherwise("test").alias("split"))
 
 
 def stratified_folds(
@@ -65,9 +67,10 @@ def stratified_folds(
     return placed.withColumn("fold", F.pmod(F.col("_place") - 1, F.lit(folds)).cast("int")).drop("_place")
 
 
-def sampled_split(df: DataFrame, label: str = "y", test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``split`` by independent draws: approximate class shares, but no shuffle at all."""
-    return df.withColumn("split", F.when(F.rand(seed) < test_size, "test").otherwise("train"))
+def sampled_split(df: DataFrame, id: str = "id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``split`` by a hash of the id: approximate class shares, the same on every run, and no shuffle."""
+    draw = F.conv(F.substring(shuffle_key(id, seed), 1, 8), 16, 10).cast("bigint") / F.lit(float(1 << 32))
+    return df.withColumn("split", F.when(draw < test_size, "test").otherwise("train"))
 
 
 def class_weights(df: DataFrame, label: str = "y") -> DataFrame:
@@ -80,12 +83,9 @@ def class_weights(df: DataFrame, label: str = "y") -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = "y", weight: str = "weight") -> DataFrame:
     """Add the balanced class weight to every row."""
-    counts = class_counts(df, label)
-    total = sum(n for _, n in counts)
-    value = F.lit(None).cast("double")
-    for c, n in counts:
-        value = F.when(F.col(label) == F.lit(c), F.lit(total / (len(counts) * n))).otherwise(value)
-    return df.withColumn(weight, value)
+    per_class = class_weights(df, label).select(F.col(label).alias("_class"), F.col("weight").alias("_weight"))
+    joined = df.join(per_class, F.col(label).eqNullSafe(F.col("_class")))
+    return joined.select(*[c for c in df.columns if c != weight], F.col("_weight").alias(weight))
 
 
 def positive_weight(df: DataFrame, label: str = "y") -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlift.functions.normalize import numeric_casts
+from ledgerlift.functions.normalize import known, numeric_casts
 from ledgerlift.sources.tables import require_same_type
 
 
 def binary_flags(df: DataFrame) -> DataFrame:
-    """One row: for each column, whether all its non-null values are 0, 1, true or false.
+    """One row: for each column, whether all its values that are not null or NaN are 0, 1, true or false.
 
     An all-null column counts as binary; text never does unless it is all null.
     """
@@ -21,6 +21,7 @@ def binary_flags(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.NumericType):
+            c = known(c, field.dataType)
             flag = F.coalesce(F.bool_and(F.when(c.isNotNull(), c.isin(0, 1))), F.lit(True))
         elif isinstance(field.dataType, T.BooleanType):
             flag = F.count(F.lit(1)) >= 0
@@ -53,12 +54,13 @@ def labelled_users(
 ) -> DataFrame:
     """Distinct keys with their target; a user with two different labels keeps two rows.
 
-    A null label counts as 0 unless ``drop_null_labels`` is set.
+    A null or NaN label counts as 0 unless ``drop_null_labels`` is set.
     """
-    known = joined.where(F.col("user_id").isNotNull())
+    joined = joined.withColumn(target, known(F.col(target), joined.schema[target].dataType))
+    named = joined.where(F.col("user_id").isNotNull())
     if drop_null_labels:
-        known = known.where(F.col(target).isNotNull())
-    pairs = known.select(*keys, target).distinct()
+        named = named.where(F.col(target).isNotNull())
+    pairs = named.select(*keys, target).distinct()
     return pairs.withColumn(target, F.coalesce(F.col(target).cast("int"), F.lit(0)))
 
 

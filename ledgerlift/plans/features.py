@@ -56,5 +56,8 @@ def load_supervised(
     """The supervised table straight from parquet files."""
     advances = tables.normalize_advances(tables.read_parquet(spark, advances_path), date_formats, user_id_type)
     labels = tables.normalize_labels(tables.read_parquet(spark, labels_path))
-    tx = tables.normalize_transactions(tables.union_existing(spark, transaction_paths), date_formats, user_id_type)
+    files = tables.read_existing(spark, transaction_paths)
+    # Of a transaction's own id only matters whether it is there: no decoding.
+    files = [tables.presence_only(f, "id") for f in files]
+    tx = tables.normalize_transaction_files(files, date_formats, user_id_type)
     return supervised_table(advances, labels, tx, **options)

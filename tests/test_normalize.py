@@ -1,5 +1,6 @@
 import ast
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -69,7 +70,30 @@ def test_dates(spark):
     out = N.normalize_dates(raw, ("s", "d", "n"), ("dd/MM/yyyy",))
     assert column(out, "s") == [dt.datetime(2024, 1, 2, 3, 4, 5, 6), dt.datetime(2024, 2, 5), None, None]
     assert column(out, "d") == [dt.datetime(2024, 1, 2), None, None, None]
-    assert column(out, "n") == [None] * 4
+    assert column(out, "n") == [dt.datetime(1970, 1, 1)] * 4  # whole numbers are nanoseconds
+
+
+def test_dates_as_numbers_and_with_zones(spark):
+    raw = spark.createDataFrame(
+        [(1704164645000006999, 1704164645000006000.0, "2024-01-01T00:00:00+05:00"), (-1, float("nan"), "2024-01-01T00:00:00Z"), (None, None, "2024-01-01 00:00:00-02")],
+        "n bigint, f double, s string",
+    )
+    out = N.normalize_dates(raw, ("n", "f", "s"))
+    assert column(out, "n") == [dt.datetime(2024, 1, 2, 3, 4, 5, 6), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), None]
+    assert abs(column(out, "f")[0] - dt.datetime(2024, 1, 2, 3, 4, 5, 6)) < dt.timedelta(milliseconds=1) and column(out, "f")[1:] == [None, None]
+    assert column(out, "s")[:2] == [dt.datetime(2023, 12, 31, 19), dt.datetime(2024, 1, 1)]
+    with pytest.raises(TypeError):
+        N.normalize_dates(spark.createDataFrame([(True,)], "b boolean"), ("b",))
+
+
+def test_random_byte_literals(spark):
+    rnd = random.Random(4)
+    pieces = ["a", "B ", "\\x0a", "\\xFF", "\\x5c", "\\n", "\\\\", "\\'", "\\0", "\\101", "~"]
+    texts = ["b'" + "".join(rnd.choice(pieces[: rnd.choice([2, 4, 11])]) for _ in range(rnd.randrange(6))) + "'" for _ in range(400)]
+    texts += ["b'" + "\\x12" * n + "'" for n in (0, 1, 5000)]
+    raw = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
+    got = {r.i: r.a for r in N.normalize_ids(raw, ("a",)).collect()}
+    assert [got[i] for i in range(len(texts))] == [ast.literal_eval(t).hex() for t in texts]
 
 
 def test_amounts(spark):

@@ -148,6 +148,33 @@ def test_folds_are_even(scored, rows):
 def test_approximate_split_keeps_every_row(scored, rows):
     got = split.sampled_split(scored).groupBy("split").count().collect()
     assert sum(r["count"] for r in got) == len(rows)
+    first, again = (sorted(map(tuple, split.sampled_split(df).collect())) for df in (scored, scored.repartition(3)))
+    assert first == again
+
+
+def test_null_labels_and_many_classes(spark):
+    df = spark.createDataFrame([(i, i % 3 if i % 3 else None, 0.0) for i in range(90)], "id int, y int, p double")
+    got = split.stratified_split(df).groupBy("y", "split").count().collect()
+    assert {(r.y, r.split): r["count"] for r in got} == {(y, s): n for y in (None, 1, 2) for s, n in (("train", 24), ("test", 6))}
+    assert {r.y: r.weight for r in split.with_class_weights(df).select("y", "weight").distinct().collect()} == {None: 1.0, 1: 1.0, 2: 1.0}
+    assert split.stratified_folds(df).count() == 90
+    many = spark.range(3000).selectExpr("id", "id % 1500 as y", "0.0 as p")
+    assert split.stratified_split(many, test_size=0.5).where("split = 'test'").count() == 1500
+    assert split.with_class_weights(many).where("abs(weight - 1) > 1e-12").count() == 0
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 0.0, 1), (2, nan, 0), (3, -0.0, 1), (4, 5.0, 0), (5, None, 1)], "id int, p double, y int")
+    assert [r.id for r in rank.global_rank(df).orderBy("rank").collect()][:3] == [4, 1, 3]
+    hits = df.select("id", evaluate.predicted().alias("h")).collect()
+    assert {r.id: r.h for r in hits} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 0}
+    assert {r.column_name: r.distinct_values for r in profile.distinct_counts(df, ["p", "id"]).collect()} == {"p": 2, "id": 5}
+    assert {r.column_name: r.distinct_values for r in profile.distinct_counts(df.limit(0)).collect()} == {"id": 0, "p": 0, "y": 0}
+    assert {r.column_name: r.distinct_values for r in profile.distinct_counts(df, ["p"], approximate=True).collect()} == {"p": 2}
+    assert sum(r.n for r in profile.histogram(df, "p", 4).collect()) == 3
+    assert [r.id for r in profile.outliers(df, "p").where("is_outlier").collect()] in ([], [4])
+    assert profile.correlations(df, ["p", "id"]).first().r is not None
 
 
 def test_weights(spark):
@@ -190,7 +217,7 @@ def test_missing_counts_nan(spark):
 def test_histogram_and_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 100]], "a double")
     got = {r.bucket: r.n for r in profile.histogram(df, "a", 10).collect()}
-    assert got == {0: 5, 9: 1}
+    assert got == {0: 5, **dict.fromkeys(range(1, 9), 0), 9: 1}
     assert [r.a for r in profile.outliers(df, "a").where("is_outlier").collect()] == [100.0]
     same = spark.createDataFrame([(5.0,), (5.0,)], "a double")
-    assert [r.n for r in profile.histogram(same, "a").collect()] == [2]
+    assert sorted(r.n for r in profile.histogram(same, "a").collect()) == [0] * 19 + [2]

@@ -1,6 +1,9 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerlift import session
+from ledgerlift.operators import supervised
 from ledgerlift.sources import sinks, tables
 
 
@@ -57,3 +60,43 @@ def test_staged_table_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, "x", None), (2, None, 0.5)], "a int, b string, c double")
     staged = session.stage(df, "abc")
     assert staged.schema == df.schema and sorted(staged.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_files_of_different_types_are_normalised_one_by_one(spark):
+    import datetime as dt
+
+    a = spark.createDataFrame(
+        [(bytearray(b"\x12\xab"), bytearray(b"\x01"), dt.datetime(2024, 1, 1), 1.5, "m", "c", "d")],
+        "user_id binary, id binary, date timestamp_ntz, amount double, merchant_name string, primary_category string, detailed_category string",
+    )
+    b = spark.createDataFrame(
+        [("b'\\x12\\xab'", None, "2024-01-02", "7"), ("b'\\x12\\xab'", "x", "junk", "junk")],
+        "user_id string, id string, date string, amount string",
+    )
+    c = spark.createDataFrame([(7, 3, 1704067200000000000, 2)], "user_id bigint, id bigint, date bigint, amount int")
+    got = tables.normalize_transaction_files([tables.presence_only(f, "id") for f in (a, b, c)])
+    rows = sorted(((r.user_id, r.id, r.date, r.amount) for r in got.collect()), key=str)
+    assert rows == sorted(
+        [
+            ("12ab", "1", dt.datetime(2024, 1, 1), 1.5),
+            ("12ab", None, dt.datetime(2024, 1, 2), 7.0),
+            ("12ab", "1", None, 0.0),
+            ("7", "1", dt.datetime(2024, 1, 1), 2.0),
+        ],
+        key=str,
+    )
+    numbers = tables.normalize_transaction_files([c, c.select(*[F.col(x) if x != "user_id" else F.lit(" 8 ").alias(x) for x in c.columns])])
+    assert dict(numbers.dtypes)["user_id"] == "bigint" and {r.user_id for r in numbers.collect()} == {7, 8}
+
+
+def test_a_bucketed_table_keeps_its_buckets(spark):
+    raw = spark.range(100).selectExpr("id as user_id", "id", "timestamp_ntz'2024-01-01' as date", "1.0d as amount")
+    plan = tables.normalize_transactions(raw).select("user_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast" not in plan
+
+
+def test_nan_labels_are_missing(spark):
+    labels = tables.normalize_labels(spark.createDataFrame([("a", 1.0), ("b", 0.0), ("c", float("nan"))], "advance_id string, y double"))
+    assert supervised.target_column(labels) == "y"
+    users = labels.withColumn("user_id", F.col("advance_id"))
+    assert {r.user_id: r.y for r in supervised.labelled_users(users, "y").collect()} == {"a": 1, "b": 0, "c": 0}
