@@ -6,10 +6,10 @@ shingles, so one block of several shingles must be equal: sets are joined on the
 sizes. Bit sketches (the parity of the shingles that fall on each bit) then bound the difference from
 below by their Hamming distance, and what is left is verified on the whole sets.
 
-Copies collapse into one set first. Of the sets that share a block, one is compared with the others; sets
-that are already known to be connected are not compared again; what is still apart after some rounds is
-compared pair by pair. So a group of near copies costs about one comparison per member and round, and yet
-no link between two components is lost.
+Copies collapse into one set first. Of the sets that share a block, one is compared with the others, and
+sets that are then known to be connected are not compared again. What is still apart after some rounds is
+compared pair by pair, first by the sketches, in tiles of bounded size. So a group of near copies costs
+about one verification per member and round, and yet no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import shuffle_width, stage, whole_text
@@ -30,9 +30,13 @@ from ledgerlift.llm.components import components
 
 REMEMBERED = 1 << 16
 GROWTH = 1.35
+#: Sets of one block that a task compares with as many others; larger blocks are cut into such tiles.
+TILE = 4096
+#: Sketch words that are compared at once.
+WORDS_AT_ONCE = 1 << 21
 #: A set finds fewer equal blocks than it needs with the chance of so many standard deviations.
 SIGMAS = 6.0
-SETS = "doc_id bigint, n_shingles bigint, set bigint, sketch binary, blocks array<bigint>"
+SETS = "doc_id bigint, text_hash bigint, n_shingles bigint, set bigint, sketch binary, blocks array<bigint>"
 
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -131,14 +135,14 @@ def bands_of(size: int, percent: int) -> list[Band]:
 
 def block_keys(shingles: np.ndarray, band: Band) -> np.ndarray:
     """A key for each block with enough shingles: band, block and XOR of the hashes in one number."""
-    salt = np.uint64(band.number + 1)
-    spot = mixed(shingles + salt * K1) >> np.uint64(32)
+    salts = [np.uint64((band.number + 1) * int(k) & 0xFFFFFFFFFFFFFFFF) for k in (K1, K2)]
+    spot = mixed(shingles + salts[0]) >> np.uint64(32)
     block = (spot * np.uint64(band.blocks)) >> np.uint64(32)
     order = np.argsort(block, kind="stable")
     block = block[order]
     starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     parity = np.bitwise_xor.reduceat(shingles[order], starts)
-    keys = mixed(mixed(parity + salt * K2) + block[starts] * K1)
+    keys = mixed(mixed(parity + salts[1]) + block[starts] * K1)
     return keys[np.diff(np.r_[starts, len(block)]) >= band.full]
 
 
@@ -177,6 +181,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     A task that sees a set again leaves the blocks out, so that copies do not multiply them.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(words), set()
@@ -198,12 +203,13 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     b["doc_id"],
+                    b["text_hash"],
                     pa.array(size, pa.int64()),
                     pa.array(number, pa.int64()),
                     pa.array(sketch, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set", "sketch", "blocks"],
+                ["doc_id", "text_hash", "n_shingles", "set", "sketch", "blocks"],
             )
 
     return rows.mapInArrow(sets, SETS)
@@ -262,21 +268,98 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(build, "set bigint, shingles binary").dropDuplicates(["set"])
 
 
+def tiled(rows: DataFrame) -> DataFrame:
+    """Rows of blocks with the pair of tiles they take part in: ``low`` and ``high``, and their own ``tile``."""
+    sizes = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    own = rows.join(sizes, "block").withColumn("tile", F.pmod(F.xxhash64("set"), F.col("tiles")).cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return other.select(
+        *rows.columns, "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")
+    )
+
+
+def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets that share a block, have different labels, and are near by size and sketch.
+
+    ``rows`` has block, set, label, n and sketch. Every pair of tiles of a block is compared in one task.
+    """
+    width = shuffle_width(rows.sparkSession)
+    placed = tiled(rows).repartition(width, "block", "low", "high").sortWithinPartitions("block", "low", "high")
+
+    def folded(sketches: list[bytes]) -> np.ndarray:
+        size = min(map(len, sketches))
+        out = np.empty((len(sketches), size // 8), np.uint64)
+        for i, x in enumerate(sketches):
+            halves = np.frombuffer(x, np.uint64).reshape(-1, size // 8)
+            out[i] = np.bitwise_xor.reduce(halves)
+        return out
+
+    def near(group: dict) -> tuple[np.ndarray, np.ndarray]:
+        label, n, tile, low, high, name = (group[c] for c in ("label", "n", "tile", "low", "high", "set"))
+        words = folded(group["sketch"])
+        left = np.flatnonzero(tile == low[0])
+        right = left if low[0] == high[0] else np.flatnonzero(tile == high[0])
+        found = []
+        step = max(1, WORDS_AT_ONCE // max(1, len(right) * words.shape[1]))
+        for at in range(0, len(left), step):
+            i = left[at : at + step, None]
+            both = n[i] + n[right]
+            apart = np.bitwise_count(words[i] ^ words[right]).sum(axis=2, dtype=np.int64)
+            ok = (label[i] != label[right]) & (apart <= both * (100 - percent) // (100 + percent))
+            ok &= 100 * np.minimum(n[i], n[right]) >= percent * np.maximum(n[i], n[right])
+            if left is right:
+                ok &= i < right
+            x, y = np.nonzero(ok)
+            found.append((name[i[x, 0]], name[right[y]]))
+        x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (name[:0], name[:0])
+        return np.minimum(x, y), np.maximum(x, y)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        name = None
+
+        def pairs(group: dict) -> Iterator[pa.RecordBatch]:
+            whole = {c: np.concatenate(v) if c != "sketch" else sum(v, []) for c, v in group.items()}
+            found = np.stack(near(whole), axis=1)
+            if len(found):
+                # A pair shares many blocks: what this task has given out lately is not given out again.
+                told = set(map(tuple, found.tolist())) - given
+                if len(given) > REMEMBERED:
+                    given.clear()
+                given.update(told)
+                a, b = zip(*told, strict=True) if told else ((), ())
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+        given: set[tuple[int, int]] = set()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = {c: batch[c].to_numpy() for c in ("block", "low", "high", "tile", "set", "label", "n")}
+            sketch = batch["sketch"].to_pylist()
+            key = np.stack([columns[c] for c in ("block", "low", "high")])
+            starts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+            for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                here = tuple(key[:, start].tolist())
+                if here != name:
+                    if held:
+                        yield from pairs(held)
+                    held, name = {c: [] for c in (*columns, "sketch")}, here
+                for c, v in columns.items():
+                    held[c].append(v[start:end])
+                held["sketch"].append(sketch[start:end])
+        if held:
+            yield from pairs(held)
+
+    return placed.mapInArrow(stream, "a bigint, b bigint").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that are linked: first by sizes and sketches, then by the whole sets."""
+    """The pairs (a, b) of sets that are linked, by the whole sets."""
 
     def side(name: str, *columns: str) -> DataFrame:
         return sets.select(F.col("set").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            columns = [b[c].to_pylist() for c in ("n_a", "n_b", "sketch_a", "sketch_b")]
-            keep = [
-                sketch_distance(x, y) <= (m + n) * (100 - percent) // (100 + percent)
-                for m, n, x, y in zip(*columns, strict=True)
-            ]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = [
@@ -285,15 +368,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sized = pairs.join(side("a", "n", "sketch"), "a").join(side("b", "n", "sketch"), "b")
-    sized = sized.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    close = sized.mapInArrow(near, "a bigint, b bigint")
-    return close.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").mapInArrow(check, "a bigint, b bigint")
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, names: DataFrame, words: int, percent: int, rounds: int) -> DataFrame | None:
     """(set, label) for all sets that share a block with another, or None if there are none."""
-    shared = stage(shared_blocks(sets), "blocks")
+    shared = stage(shared_blocks(sets), "blocks").select("block", "set")
     if shared.isEmpty():
         return None
     some = stage(shared.select("set").distinct(), "shared")
@@ -302,16 +382,24 @@ def linked_sets(docs: DataFrame, sets: DataFrame, names: DataFrame, words: int,
     known = stage(known, "sets")
     labels = some.select("set", F.col("set").alias("label"))
 
-    def best(pairs: DataFrame) -> DataFrame:
-        """Of all the hubs that a set meets, the one it shares most blocks with."""
-        met = pairs.groupBy("set", "hub").agg(F.count(F.lit(1)).alias("n"))
-        return met.groupBy("set").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).withColumnRenamed("set", "a")
-
-    def apart() -> DataFrame:
+    def split(rows: DataFrame) -> DataFrame:
         """Blocks whose sets are not all connected yet."""
-        named = shared.select("block", "set").join(labels, "set")
-        split = named.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        return stage(named.join(split.select("block"), "block"), "apart")
+        ends = rows.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return rows.join(ends.select("block"), "block")
+
+    def with_hubs(rows: DataFrame, used: DataFrame | None) -> DataFrame:
+        """(a, b): each set and, of the hubs it meets, the one it shares most blocks with.
+
+        The hub of a block is the set that meets most others in all its blocks, which is the one the rest
+        of a group of near copies are nearest to; hubs of earlier turns are passed over.
+        """
+        size = rows.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
+        met = rows.join(size, "block").groupBy("set").agg(F.sum("size").alias("met"))
+        ranked = rows.join(met if used is None else met.join(used, "set", "left_anti"), "set")
+        hubs = ranked.groupBy("block").agg(F.max_by(F.struct("set", "label"), F.struct("met", "set")).alias("hub"))
+        pairs = rows.join(hubs, "block").where("label <> hub.label").select("set", F.col("hub.set").alias("hub"))
+        counted = pairs.groupBy("set", "hub").agg(F.count(F.lit(1)).alias("n"))
+        return counted.groupBy("set").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).withColumnRenamed("set", "a")
 
     def merged(pairs: DataFrame) -> DataFrame:
         links = stage(verified(pairs, known, percent), "links")
@@ -320,26 +408,26 @@ def linked_sets(docs: DataFrame, sets: DataFrame, names: DataFrame, words: int,
         groups = components(ends.where("a <> b").distinct()).select(F.col("node").alias("label"), F.col("label").alias("to"))
         return stage(labels.join(groups, "label", "left").select("set", F.coalesce("to", "label").alias("label")), "merged")
 
-    labels = merged(best(shared.where("set <> hub")))
-    for turn in range(rounds):
-        left = apart()
-        if left.isEmpty():
+    used = None
+    for turn in range(rounds + 1):
+        rows = stage(split(shared.join(labels, "set")), "apart")
+        if rows.isEmpty():
             return labels
-        # Another hub for each block, picked by a hash, and only for the sets it is not connected with.
-        hubs = left.groupBy("block").agg(F.min_by(F.struct("set", "label"), F.xxhash64("set", F.lit(turn))).alias("h"))
-        labels = merged(best(left.join(hubs, "block").where("label <> h.label").select("set", F.col("h.set").alias("hub"))))
-    left = apart()
-    if left.isEmpty():
-        return labels
-    sizes = known.select("set", "n")
-    left = left.join(sizes, "set")
-    a, b = (left.select("block", *[F.col(c).alias(f"{c}_{x}") for c in ("set", "label", "n")]) for x in "ab")
-    both = a.join(b, "block").where("label_a < label_b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    return merged(both.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct())
+        if turn < rounds:
+            pairs = stage(with_hubs(rows, used), "hubs")
+            hubs = pairs.select(F.col("b").alias("set")).distinct()
+            used = hubs if used is None else used.unionByName(hubs).distinct()
+            labels = merged(pairs)
+    return merged(close_pairs(rows.join(known.select("set", "n", "sketch"), "set"), percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, n_shingles, component_id, as ``with_components`` finds them."""
+    return with_components(docs, words, percent, rounds).select("doc_id", "n_shingles", "component_id")
+
+
+def with_components(docs: DataFrame, words: int, percent: int, rounds: int = 3) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_shingles, component_id.
 
     Two documents are linked when the intersection of their sets of ``words``-word shingles is at least
     ``percent`` % of the union; component_id is the smallest doc_id that links lead to, the document's own
@@ -361,6 +449,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rounds:
         least = names.join(labels, "set").groupBy("label").agg(F.min("doc_id").alias("least"))
         wide = labels.join(least, "label").select("set", "least")
         owned = owned.join(wide, "set", "left").select("set", F.coalesce("least", "component_id").alias("component_id"))
-    out = sets.select("doc_id", "n_shingles", "set").join(owned, "set", "left")
+    out = sets.select("doc_id", "text_hash", "n_shingles", "set").join(owned, "set", "left")
     own = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
+
+
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, in the columns it came with: the one of the smallest doc_id.
+
+    Documents without any word are linked with nothing and stay. Of rows that repeat a doc_id and its text
+    one stays. A row without doc_id stays unless it is linked with one that has an id.
+    """
+    lowest = F.lit(-(2**63)).cast("bigint")
+    found = with_components(docs, words, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = found.select(F.coalesce("doc_id", lowest).alias("id"), F.col("text_hash").alias("hash")).distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("id"),
+        F.xxhash64(whole_text()).alias("hash"),
+    )
+    again = Window.partitionBy("id", "hash").orderBy("id")
+    kept = rows.join(chosen, ["id", "hash"]).withColumn("copy", F.row_number().over(again)).where("copy = 1")
+    return kept.select("row.*")

@@ -125,3 +125,13 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert all(got[i] == 0 for i in range(91)) and all(got[200 + i] == 200 for i in range(50)) and got[501] == 500
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_tiles_of_large_blocks(spark, monkeypatch):
+    import ledgerlift.llm.parity_join as m
+
+    monkeypatch.setattr(m, "TILE", 16)
+    monkeypatch.setattr(m, "WORDS_AT_ONCE", 64)
+    rows = corpus(7, 200)
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA), 4, 85, rounds=0)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 4, 85)
