@@ -26,6 +26,9 @@ SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 64
 MOST_SUFFIXES = 20_000
 RANGES_A_TASK = 4
 PLACE_BITS = 40
+#: Bits of an anchor's hash that say whether documents share it, besides those that choose its part.
+TOKEN_BITS = 40
+PACKED = ("part", "ids", "tokens", "docs", "several", "told_tokens", "told_docs")
 
 U = np.uint64
 K1, K2, K3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -139,7 +142,11 @@ def suffix_rows(data: np.ndarray, place: np.ndarray, hashes: np.ndarray, least:
     owned = there & (least[np.where(there, start, 0)] == hashes[place][:, None])
     own = (owned.astype(np.int64) << np.arange(width)).sum(axis=1)
     padded = np.r_[np.zeros(width - 1, np.uint8), data, np.zeros(length, np.uint8)]
-    around = padded[place[:, None] + np.arange(width - 1 + length)]
+    at = np.arange(width - 1 + length)
+    around = padded[place[:, None] + at]
+    # Bytes outside its own strings are never compared; as zeros they pack well.
+    far, near = (np.log2(x).astype(np.int64)[:, None] for x in (own.astype(np.float64), (own & -own).astype(np.float64)))
+    around[(at < width - 1 - far) | (at >= width - 1 - near + length)] = 0
     return around, own
 
 
@@ -182,6 +189,77 @@ def mark_of(text: str) -> int:
     return int.from_bytes(digest) & 0x7FFFFF
 
 
+def five_bytes(tokens: np.ndarray) -> bytes:
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
+
+
+def from_five_bytes(data: bytes) -> np.ndarray:
+    short = np.frombuffer(data, np.uint8).reshape(-1, TOKEN_BITS // 8)
+    out = np.zeros((len(short), 8), np.uint8)
+    out[:, : TOKEN_BITS // 8] = short
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def packed_anchors(hashes: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Anchors of a batch of documents, packed into one row per part (hash modulo ``parts``).
+
+    A part gets every anchor once: its token, a document that has it, and whether another document of the
+    batch has it too. Anchors that documents of the batch share among themselves are told apart, as
+    ``told`` tokens and documents, so one that a third of all documents hold is one entry per batch.
+    Tokens are the upper bits of the hash; two anchors of one token only cost a needless comparison.
+    """
+    order = np.argsort(hashes, kind="stable")
+    hashes, ids = hashes[order], ids[order]
+    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+    size = np.diff(np.r_[starts, len(hashes)])
+    if len(starts):
+        several = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
+    else:
+        several = np.zeros(0, bool)
+    told = np.repeat(several, size)
+    out: dict[str, list] = {name: [] for name in PACKED}
+    part, told_part = (hashes[starts] % U(parts)).astype(np.int64), (hashes[told] % U(parts)).astype(np.int64)
+    by_part, by_told = np.argsort(part, kind="stable"), np.argsort(told_part, kind="stable")
+    cuts, told_cuts = (np.searchsorted(x, np.arange(parts + 1)) for x in (part[by_part], told_part[by_told]))
+    tokens, token_ids = hashes[starts] >> U(64 - TOKEN_BITS), ids[starts]
+    told_tokens, told_ids = hashes[told] >> U(64 - TOKEN_BITS), ids[told]
+    for p in range(parts):
+        mine, also = by_part[cuts[p] : cuts[p + 1]], by_told[told_cuts[p] : told_cuts[p + 1]]
+        if not len(mine):
+            continue
+        names, place = np.unique(np.r_[token_ids[mine], told_ids[also]], return_inverse=True)
+        place = place.astype("<u2" if len(names) <= 1 << 16 else "<u4")
+        out["part"].append(p)
+        out["ids"].append(names.tobytes())
+        out["tokens"].append(five_bytes(tokens[mine]))
+        out["docs"].append(place[: len(mine)].tobytes())
+        out["several"].append(np.packbits(several[mine]).tobytes())
+        out["told_tokens"].append(five_bytes(told_tokens[also]))
+        out["told_docs"].append(place[len(mine) :].tobytes())
+    return pa.RecordBatch.from_pydict({n: pa.array(v, pa.int32() if n == "part" else pa.binary()) for n, v in out.items()})
+
+
+def shared_tokens(rows: list[dict]) -> pa.RecordBatch:
+    """(id, token) of all anchors of one part that at least two documents hold."""
+    token, doc, several, known = [], [], [], []
+    for r in rows:
+        names = np.frombuffer(r["ids"], np.int64)
+        kind = "<u2" if len(names) <= 1 << 16 else "<u4"
+        token.append(from_five_bytes(r["tokens"]))
+        doc.append(names[np.frombuffer(r["docs"], kind)])
+        several.append(np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(token[-1])).astype(bool))
+        known.append((names[np.frombuffer(r["told_docs"], kind)], from_five_bytes(r["told_tokens"])))
+    token, doc, several = (np.concatenate(x) for x in (token, doc, several))
+    order = np.argsort(token, kind="stable")
+    token, doc, several = token[order], doc[order], several[order]
+    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    shared = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+    shared |= np.logical_or.reduceat(several, starts)
+    out = np.repeat(shared, np.diff(np.r_[starts, len(token)])) & ~several
+    ids, tokens = (np.concatenate([a, *b]) for a, b in ((doc[out], [k[0] for k in known]), (token[out], [k[1] for k in known])))
+    return pa.RecordBatch.from_pydict({"id": ids, "token": tokens})
+
+
 def splitters(rows: DataFrame, n: int, length: int) -> np.ndarray:
     """Leading words of suffixes that cut a bounded sample of them into ``n`` about equal parts."""
     total = max(1, rows.count())
@@ -235,31 +313,21 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             found, ids = [], []
             for i, text in zip(b["id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 place, hashes, _ = anchors(buffer(text), length)
-                found.append(np.unique(hashes[place]).view(np.int64))
+                found.append(np.unique(hashes[place]))
                 ids.append(np.full(len(found[-1]), i, np.int64))
             if found:
-                yield pa.RecordBatch.from_pydict({"anchor": np.concatenate(found), "id": np.concatenate(ids)})
+                yield packed_anchors(np.concatenate(found), np.concatenate(ids), width)
 
     def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows are sorted by anchor and id. A row is given out once its anchor has been seen with two ids.
-        held = None  # the anchor that the last batch ended in, its first id, and whether it is shared already
+        held: list[dict] = []
         for b in batches:
-            anchor, ids = b["anchor"].to_numpy(), b["id"].to_numpy()
-            if not len(anchor):
-                continue
-            extra = held is not None
-            if extra:
-                anchor, ids = np.r_[held[0], anchor], np.r_[held[1], ids]
-            starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            ends = np.r_[starts[1:], len(anchor)]
-            shared = ids[starts] != ids[ends - 1]
-            told = extra and held[2]
-            shared[0] |= told
-            out = np.repeat(shared, ends - starts)
-            if told:
-                out[0] = False  # stands for rows that have been given out
-            held = (anchor[-1], ids[starts[-1]], bool(shared[-1]))
-            yield pa.RecordBatch.from_pydict({"anchor": anchor[out], "id": ids[out]})
+            for row in b.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield shared_tokens(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield shared_tokens(held)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,7 +336,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             for i, text, wanted in zip(*columns, strict=True):
                 data = buffer(text)
                 place, hashes, least = anchors(data, length)
-                place = place[np.isin(hashes[place], wanted.values.to_numpy().view(U))]
+                token = (hashes[place] >> U(64 - TOKEN_BITS)).astype(np.int64)
+                place = place[np.isin(token, wanted.values.to_numpy())]
                 if not len(place):
                     continue
                 around, own = suffix_rows(data, place, hashes, least, length)
@@ -278,14 +347,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
                 # A leading word that fills several ranges is spread over them by its anchor.
                 part = low + (anchor % (high - low + 1).astype(U)).astype(np.int64)
                 spot = mark_of(text) << PLACE_BITS | place
-                parts.append((part.astype(np.int32), anchor.view(np.int64), np.full(len(place), i), spot, own, around))
+                parts.append((part.astype(np.int32), np.full(len(place), i), spot, own, around))
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
                 around = columns.pop()
                 size = around.shape[1]
                 held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(around), [None, pa.py_buffer(around.tobytes())])
                 arrays = [*map(pa.array, columns), held.cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["part", "anchor", "id", "spot", "own", "around"])
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "id", "spot", "own", "around"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by range and anchor: whole anchors are gathered up to ``most`` rows, then compared."""
@@ -304,7 +373,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             )
 
         def settle(rows: list[tuple]) -> pa.RecordBatch:
-            anchor, ids, spot, own, around = (np.concatenate(c) for c in zip(*rows, strict=True))
+            _, ids, spot, own, around = (np.concatenate(c) for c in zip(*rows, strict=True))
             before, after = around[:, : span - 1][:, ::-1], around[:, span - 1 :]
             bits = repeated_strings(before, after, own, ids, length)
             hit = bits != 0
@@ -319,8 +388,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             if not b.num_rows:
                 continue
             flat = fixed_rows(b["around"], span - 1 + length)
-            columns = [b[c].to_numpy() for c in ("anchor", "id", "spot", "own")]
-            anchor = columns[0]
+            anchor = np.ascontiguousarray(flat[:, span - 1 : span - 1 + GRAM]).view("S%d" % GRAM).ravel()
+            columns = [anchor, *(b[c].to_numpy() for c in ("id", "spot", "own"))]
             starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
             for start, end in zip(starts, [*starts[1:], len(anchor)], strict=True):
                 rows = (*(c[start:end] for c in columns), flat[start:end])
@@ -350,15 +419,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
 
     # The same exchange of the texts by id serves all three joins.
     originals = rows.join(copies.select("id").distinct(), "id", "left_anti")
-    tokens = originals.mapInArrow(own_anchors, "anchor bigint, id bigint")
-    shared = tokens.repartition(width, "anchor").sortWithinPartitions("anchor", "id")
-    shared = shared.mapInArrow(shared_anchors, "anchor bigint, id bigint")
-    wanted = shared.groupBy("id").agg(F.collect_list("anchor").alias("shared"))
+    blobs = originals.mapInArrow(own_anchors, ", ".join(f"{n} {'int' if n == 'part' else 'binary'}" for n in PACKED))
+    shared = blobs.repartition(width, "part").sortWithinPartitions("part")
+    shared = shared.mapInArrow(shared_anchors, "id bigint, token bigint")
+    wanted = shared.groupBy("id").agg(F.collect_list("token").alias("shared"))
     placed = rows.join(wanted, "id").mapInArrow(
-        suffixes, "part int, anchor bigint, id bigint, spot bigint, own bigint, around binary"
+        suffixes, "part int, id bigint, spot bigint, own bigint, around binary"
     )
-    ranged = placed.repartition(width, "part").sortWithinPartitions("part", "anchor")
-    judged = ranged.select("anchor", "id", "spot", "own", "around").mapInArrow(
+    gram = F.substring("around", span, GRAM)
+    ranged = placed.repartition(width, "part").sortWithinPartitions("part", gram)
+    judged = ranged.select("id", "spot", "own", "around").mapInArrow(
         compare, "id bigint, spot bigint, offsets bigint, digest binary"
     )
     judged = judged.repartition(width, "id", "spot", "offsets")
