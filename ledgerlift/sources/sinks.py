@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.sources.tables import path_exists
 
@@ -36,3 +38,24 @@ def materialize(df: DataFrame, path: str, refresh: bool = True) -> DataFrame:
     if [(f.name, f.dataType) for f in found.schema] != [(f.name, f.dataType) for f in df.schema]:
         raise ValueError(f"{path} holds another schema; pass refresh=True to rebuild it")
     return found
+
+
+def input_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Path, size and time of every file under the paths; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return files.select("path", "length", "modificationTime")
+
+
+def materialize_once(spark: SparkSession, path: str, inputs: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, built only if it is not there or its input files have changed.
+
+    The files it was built from are kept beside it, in ``path`` + ".inputs".
+    """
+    now, kept = input_files(spark, inputs), f"{path}.inputs"
+    if path_exists(spark, path) and path_exists(spark, kept):
+        before = spark.read.parquet(kept)
+        if now.exceptAll(before).isEmpty() and before.exceptAll(now).isEmpty():
+            return spark.read.parquet(path)
+    out = materialize(build(), path)
+    now.write.mode("overwrite").parquet(kept)
+    return out

@@ -100,3 +100,17 @@ def test_nan_labels_are_missing(spark):
     assert supervised.target_column(labels) == "y"
     users = labels.withColumn("user_id", F.col("advance_id"))
     assert {r.user_id: r.y for r in supervised.labelled_users(users, "y").collect()} == {"a": 1, "b": 0, "c": 0}
+
+
+def test_a_table_is_built_again_only_when_its_inputs_change(spark, tmp_path):
+    source, out, built = str(tmp_path / "in"), str(tmp_path / "out"), []
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(source)
+
+    spark.range(3).write.parquet(source)
+    for rows, times in ((3, 1), (3, 1)):
+        assert sinks.materialize_once(spark, out, [source], build).count() == rows and len(built) == times
+    spark.range(2).write.mode("append").parquet(source)
+    assert sinks.materialize_once(spark, out, [source], build).count() == 5 and len(built) == 2
