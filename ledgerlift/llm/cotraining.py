@@ -24,6 +24,7 @@ from ledgerlift.llm.common import stage, whole_text
 WORD_BUCKETS, SHAPE_BUCKETS = 512, 256
 SOURCE_BUCKETS, LANG_BUCKETS = 64, 16
 REMEMBERED = 1 << 16
+FIT_TASKS = 8
 
 
 @dataclass(frozen=True)
@@ -190,7 +191,8 @@ def odds_of(view: View, features: str) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) -> Quality:
     """Both views after ``how.rounds`` exchanges, calibrated and weighed on held-out labels."""
-    rows = sampled(docs, labels, how).persist()
+    # The sample is bounded, so a few partitions hold it; every iteration of a fit is a job over them.
+    rows = sampled(docs, labels, how).coalesce(FIT_TASKS).persist()
     seen = {(r.held, r.y): r["count"] for r in rows.where("y is not null").groupBy("held", "y").count().collect()}
     if len(seen) < 4:
         good = sum(n for (_, y), n in seen.items() if y == 1)
