@@ -23,7 +23,7 @@ GRAM = 16
 #: Documents that the splitters are drawn from, and suffixes of each. They decide the balance, not the result.
 SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 64
 #: Suffixes of one anchor that a task compares at once; beyond it they are compared string by string.
-MOST_SUFFIXES = 20_000
+MOST_SUFFIXES = 500_000
 RANGES_A_TASK = 4
 PLACE_BITS = 40
 #: Bits of an anchor's hash that say whether documents share it, besides those that choose its part.
