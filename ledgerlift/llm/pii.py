@@ -1,7 +1,8 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, context words adjust the score.
 
 Everything is built-in functions. A pattern is run twice over a text, once for the matches and once for
-the pieces between them; the running lengths of both give the places, in code points.
+the pieces between them; the running lengths of both give the places, in code points. The context of a
+match is put together from the ends of the pieces and matches next to it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from ledgerlift.llm.common import whole_text
 
 #: Elements summed in one go by running_sums.
 BLOCK = 256
+#: Code points of the shortest match of any pattern.
+SHORTEST = 4
 
 # Fixed values. The patterns of the base kinds match what these match, leftmost and without overlap:
 #   email  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -165,6 +168,7 @@ def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text", near: int
                 F.col(f"found_{k.name}").alias("match"),
                 F.col(f"pieces_{k.name}").alias("before"),
                 F.slice(f"pieces_{k.name}", 2, F.size(f"pieces_{k.name}")).alias("after"),
+                F.transform(f"found_{k.name}", lambda _, i: i).alias("index"),
                 running_sums(
                     F.zip_with(
                         f"found_{k.name}",
@@ -175,11 +179,33 @@ def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text", near: int
             ).alias(k.name)
             for k in kinds
         ],
+        # The ends of each match with the piece before it, and the starts of each with the piece after it.
+        *[
+            F.zip_with(
+                f"found_{k.name}", f"pieces_{k.name}", lambda m, p: F.right(F.concat(p, m), F.lit(near))
+            ).alias(f"tails_{k.name}")
+            for k in kinds
+        ],
+        *[
+            F.zip_with(
+                f"found_{k.name}",
+                F.slice(f"pieces_{k.name}", 2, F.size(f"pieces_{k.name}")),
+                lambda m, p: F.left(F.concat(m, p), F.lit(near)),
+            ).alias(f"heads_{k.name}")
+            for k in kinds
+        ],
     )
+    # So many neighbouring matches fill the context.
+    most = -(-near // SHORTEST)
 
     def spans(place: int, kind: Kind) -> Column:
         def scored(x: Column) -> Column:
-            context = F.lower(F.concat(F.right(x["before"], F.lit(near)), F.lit("\n"), F.left(x["after"], F.lit(near))))
+            i = x["index"]
+            left = F.slice(f"tails_{kind.name}", F.greatest(i - most, F.lit(0)) + 1, F.least(i, F.lit(most)))
+            right = F.slice(f"heads_{kind.name}", i + 2, F.lit(most))
+            before = F.right(F.concat(F.array_join(left, ""), F.right(x["before"], F.lit(near))), F.lit(near))
+            after = F.left(F.concat(F.left(x["after"], F.lit(near)), F.array_join(right, "")), F.lit(near))
+            context = F.lower(F.concat(before, F.lit("\n"), after))
             score = (
                 F.lit(kind.score)
                 + F.when(context.rlike(kind.raised_by), RAISE).otherwise(0.0)

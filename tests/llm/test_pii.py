@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import types as T
 
-from ledgerlift.llm.pii import find_pii, mod97, pii_digest
+from ledgerlift.llm.pii import SSN, find_pii, mod97, pii_digest
 from pyspark.sql import functions as F
 
 PATTERNS = {
@@ -94,6 +94,28 @@ def test_added_kinds_and_context(spark):
     assert got[4][0].score > got[5][0].score and kinds[5] == ["phone"]
 
 
+def test_context_reaches_over_other_matches(spark):
+    """The score is that of the 40 code points on either side, whatever matches stand in them."""
+    numbers = ["123-45-6789", "234-56-7891", "345-67-8912"]
+    rnd = random.Random(5)
+    parts = [*numbers, "ssn", "é😀", " page ", ", ", " ", "x" * 15, "y" * 60]
+    texts = ["SSN: " + ", ".join(numbers), ", ".join(numbers) + " is my ssn", "ssn " + "z" * 41 + " 123-45-6789"]
+    texts += [" ".join(rnd.choice(parts) for _ in range(rnd.randrange(30))) for _ in range(300)]
+    got = {r.doc_id: r.spans for r in find_pii(spark.createDataFrame(list(enumerate(texts)), SCHEMA), least=0.0).collect()}
+    for i, text in enumerate(texts):
+        want = []
+        for m in re.finditer(SSN, text):
+            around = (text[max(0, m.start() - 40) : m.start()] + "\n" + text[m.end() : m.end() + 40]).lower()
+            score = 0.4 + 0.15 * bool(re.search(r"\b(?:ssn|social security|taxpayer)\b", around, re.ASCII))
+            score -= 0.25 * bool(re.search(r"\b(?:version|order|invoice|isbn|sku|item|page)\b", around, re.ASCII))
+            want.append((m.start(), m.end(), pytest.approx(score)))
+        assert [(s.start, s.end, s.score) for s in got[i] if s.kind == "ssn"] == want, text
+    kept = find_pii(spark.createDataFrame(list(enumerate(texts[:3])), SCHEMA)).collect()
+    assert [len(r.spans) for r in sorted(kept, key=lambda r: r.doc_id)] == [3, 3, 0]
+    phones = "phone " + "+1 2 " * 6 + "+1 366 555 9807"
+    assert find_pii(spark.createDataFrame([(1, phones)], SCHEMA)).first().spans[0].score == pytest.approx(0.85)
+
+
 @pytest.mark.parametrize("iban,ok", [("DE89370400440532013000", True), ("DE89370400440532013001", False), ("GB82WEST12345698765432", True)])
 def test_mod97(spark, iban, ok):
     assert spark.range(1).select(mod97(F.lit(iban))).first()[0] is ok
