@@ -249,18 +249,25 @@ def shared_blocks(sets: DataFrame) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set, shingles as bytes) of the wanted (doc_id, set)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    rows = rows.join(wanted, "doc_id").select("set", "text")
+    """(set, shingles as bytes) of the wanted (doc_id, text_hash, set); the doc_id may be null."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("text_hash"))
+    rows = rows.join(wanted, same).select("set", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
+        shingles, told = Shingles(words), set()
         for b in batches:
             numbers, held = [], []
             for name, text in zip(b["set"].to_pylist(), b["text"].to_pylist(), strict=True):
+                # Rows without doc_id, or that repeat theirs, may be many copies of one text.
+                if name in told:
+                    continue
                 s = shingles.of(text)
-                # Rows that share a doc_id may have other texts.
+                # Other texts may have the same hash.
                 if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), signed=True) == name:
+                    if len(told) >= REMEMBERED:
+                        told.clear()
+                    told.add(name)
                     numbers.append(name)
                     held.append(s.tobytes())
             yield pa.RecordBatch.from_pydict({"set": pa.array(numbers, pa.int64()), "shingles": pa.array(held, pa.binary())})
@@ -442,9 +449,12 @@ def with_components(docs: DataFrame, words: int, percent: int, rounds: int = 3)
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be in 1..100 and words at least 1")
     sets = stage(shingle_sets(docs, words, percent), "shingles")
-    names = stage(sets.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id")), "names")
+    # The row that stands for a set: that of the smallest doc_id, or any if none has one.
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row")
+    names = sets.where("set is not null").groupBy("set").agg(row).select("set", "row.doc_id", "row.text_hash")
+    names = stage(names, "names")
     labels = linked_sets(docs, sets, names, words, percent, rounds)
-    owned = names.withColumnRenamed("doc_id", "component_id")
+    owned = names.select("set", F.col("doc_id").alias("component_id"))
     if labels is not None:
         least = names.join(labels, "set").groupBy("label").agg(F.min("doc_id").alias("least"))
         wide = labels.join(least, "label").select("set", "least")

@@ -16,6 +16,7 @@ from ledgerlift.llm.parity_join import (
     most_different,
     near_duplicates,
     parity_sketch,
+    representatives,
     sketch_bits,
     sketch_distance,
 )
@@ -94,6 +95,25 @@ def test_rows_it_must_take(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_rows_without_doc_id(spark, rounds):
+    """Near copies without a doc_id are linked, and join what is only linked with them."""
+    rows = [(None if i % 3 == 1 else i, *r) for i, *r in corpus(11, 150)]
+    chain = [f"c{i}" for i in range(100)]
+    rows += [(doc, " ".join(chain[at : at + 60]), 0, 0, 0) for doc, at in ((9001, 0), (None, 4), (9003, 8), (None, 4))]
+    want = brute(rows, 4, 85)
+    assert (9003, 57, 9001) in want
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA), 4, 85, rounds)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_representatives_without_doc_id(spark):
+    words = [f"r{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (None, " ".join([*words, "more"])), (None, " ".join(f"alone{i}" for i in range(50)))]
+    got = representatives(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.text[:2] for r in got.collect()) == ["al", "r0"]
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_linked_pairs_always_share_a_block(percent):
     rng = np.random.default_rng(percent)
