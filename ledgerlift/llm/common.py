@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.session import shared_dir, stage, staging_path
 
-__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width"]
+__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width", "delete"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,3 +23,9 @@ def whole_text(column: str = "text") -> Column:
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that has no readers left."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -16,16 +16,16 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, DataFrameReader, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import shuffle_width, stage, whole_text
+from ledgerlift.llm.common import delete, shuffle_width, stage, staging_path, whole_text
 from ledgerlift.llm.components import components
 
 REMEMBERED = 1 << 16
@@ -36,7 +36,11 @@ TILE = 4096
 WORDS_AT_ONCE = 1 << 21
 #: A set finds fewer equal blocks than it needs with the chance of so many standard deviations.
 SIGMAS = 6.0
-SETS = "doc_id bigint, text_hash bigint, n_shingles bigint, set bigint, sketch binary, blocks array<bigint>"
+FACTS = "doc_id bigint, text_hash bigint, n_shingles bigint, set bigint, sketch binary"
+PACKS = "part int, names binary, tokens binary, places binary"
+#: Bits of a block's key besides those that choose its part, keys that a task packs at once, and parts of
+#: a task that reads them: a part's keys are held in memory. Two blocks of one key only cost a comparison.
+KEY_BITS, KEYS_AT_ONCE, PARTS_A_TASK = 40, 1 << 22, 4
 
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -64,7 +68,10 @@ class Shingles:
 
     def of(self, text: str) -> np.ndarray:
         """A-Z in lower case; words end at ASCII white space; a shorter text is one shingle."""
-        words = text.encode("utf-8", "surrogatepass").lower().split()
+        return self.of_bytes(text.encode("utf-8", "surrogatepass"))
+
+    def of_bytes(self, text: bytes) -> np.ndarray:
+        words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
         hashes = np.frombuffer(b"".join(map(self.word, words)), np.uint64)
@@ -175,18 +182,68 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document: the number of its shingles, its set's id, the set's bit sketch and its blocks.
-
-    A task that sees a set again leaves the blocks out, so that copies do not multiply them.
+def packed_keys(keys: np.ndarray, place: np.ndarray, names: np.ndarray, parts: int) -> dict[str, list]:
+    """Keys of blocks, and the places of their sets in ``names``, as one row of packed numbers per part."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    token = (keys[order] >> np.uint64(64 - KEY_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+    place, part = place[order], part[order]
+    out: dict[str, list] = {"part": [], "names": [], "tokens": [], "places": []}
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=True):
+        own, at = np.unique(place[a:b], return_inverse=True)
+        out["part"].append(int(part[a]))
+        out["names"].append(names[own].tobytes())
+        out["tokens"].append(token[a:b].tobytes())
+        out["places"].append(at.astype("<u2" if len(own) <= 1 << 16 else "<u4").tobytes())
+    return out
+
+
+def unpacked_keys(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and sets of packed rows."""
+    tokens, sets = [], []
+    for r in rows:
+        short = np.frombuffer(r["tokens"], np.uint8).reshape(-1, KEY_BITS // 8)
+        whole = np.zeros((len(short), 8), np.uint8)
+        whole[:, : KEY_BITS // 8] = short
+        tokens.append(whole.view("<u8").ravel().astype(np.int64))
+        names = np.frombuffer(r["names"], np.int64)
+        sets.append(names[np.frombuffer(r["places"], "<u2" if len(names) <= 1 << 16 else "<u4")])
+    return np.concatenate(tokens), np.concatenate(sets)
+
+
+def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, Callable[[], None]]:
+    """Two staged tables made in one pass over the texts, and a function that deletes the second.
+
+    The first has one row per document: the number of its shingles, its set's id and the set's bit sketch.
+    The second has the keys of the sets' blocks, packed into rows of one part each. A task that sees a set
+    again leaves both out, so that copies do not multiply them.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    parts = PARTS_A_TASK * shuffle_width(docs.sparkSession)
+    facts, packs = ([c.split()[0] for c in x.split(", ")] for x in (FACTS, PACKS))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+    def whole(columns: dict[str, list | pa.Array], n: int) -> pa.RecordBatch:
+        """A row is of one table; the columns of the other are null."""
+        arrays = [columns[c] if c in columns else pa.nulls(n, k) for c, k in zip([*facts, *packs], kinds, strict=True)]
+        arrays = [a if isinstance(a, pa.Array) else pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(["part" in columns] * n, pa.bool_()), *arrays], ["packed", *facts, *packs])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(words), set()
+        held: list[np.ndarray] = []
+        names: list[int] = []
+
+        def pack() -> pa.RecordBatch:
+            place = np.repeat(np.arange(len(held)), [len(k) for k in held])
+            out = packed_keys(np.concatenate(held), place, np.array(names, np.int64), parts)
+            return whole(out, len(out["part"]))
+
+        waiting = 0
         for b in batches:
-            size, number, sketch, keys = [], [], [], []
+            size, number, sketch = [], [], []
             for text in b["text"].to_pylist():
                 s = shingles.of(text)
                 size.append(len(s))
@@ -199,70 +256,87 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 seen.add(name)
                 use = bands_of(len(s), percent) if fresh and len(s) else []
                 sketch.append(parity_sketch(s, sketch_bits(len(s), percent)) if use else None)
-                keys.append(np.concatenate([block_keys(s, x) for x in use]).view(np.int64) if use else [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b["doc_id"],
-                    b["text_hash"],
-                    pa.array(size, pa.int64()),
-                    pa.array(number, pa.int64()),
-                    pa.array(sketch, pa.binary()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "text_hash", "n_shingles", "set", "sketch", "blocks"],
-            )
-
-    return rows.mapInArrow(sets, SETS)
-
-
-def shared_blocks(sets: DataFrame) -> DataFrame:
-    """(block, set, hub) for blocks of at least two sets; the hub is the smallest set of the block."""
-    rows = sets.select(F.explode("blocks").alias("block"), "set")
-    rows = rows.repartition(shuffle_width(sets.sparkSession), "block").sortWithinPartitions("block", "set")
+                keys = [block_keys(s, x) for x in use]
+                if sum(map(len, keys)):
+                    held.append(np.concatenate(keys))
+                    names.append(name)
+                    waiting += len(held[-1])
+                if waiting >= KEYS_AT_ONCE:
+                    yield pack()
+                    held.clear(), names.clear()
+                    waiting = 0
+            columns = [b["doc_id"], b["text_hash"], size, number, sketch]
+            yield whole(dict(zip(facts, columns, strict=True)), b.num_rows)
+        if held:
+            yield pack()
+
+    path = staging_path(docs.sparkSession, "shingles")
+    rows.mapInArrow(sets, f"packed boolean, {FACTS}, {PACKS}").write.partitionBy("packed").parquet(path)
+    read = docs.sparkSession.read
+    tables = [_kind(read, path, kind, schema) for kind, schema in (("false", FACTS), ("true", PACKS))]
+    return *tables, lambda: delete(docs.sparkSession, f"{path}/packed=true")
+
+
+def _kind(read: DataFrameReader, path: str, kind: str, schema: str) -> DataFrame:
+    """The rows of one kind; a table without any has no folder."""
+    return read.schema(f"{schema}, packed boolean").parquet(path).where(f"packed = {kind}").drop("packed")
+
+
+def shared_blocks(packs: DataFrame) -> DataFrame:
+    """(block, set) for blocks of at least two sets."""
+    rows = packs.repartition(shuffle_width(packs.sparkSession), "part").sortWithinPartitions("part")
+
+    def shared(held: list[dict]) -> pa.RecordBatch:
+        token, item = unpacked_keys(held)
+        order = np.lexsort((item, token))
+        token, item = token[order], item[order]
+        new = np.r_[True, (token[1:] != token[:-1]) | (item[1:] != item[:-1])]
+        token, item = token[new], item[new]
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        size = np.diff(np.r_[starts, len(token)])
+        out = np.repeat(size > 1, size)
+        return pa.RecordBatch.from_pydict({"block": token[out] | held[0]["part"] << KEY_BITS, "set": item[out]})
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The block that the last batch ended in: its hub, its last set, and whether it has others.
-        held = None
+        held: list[dict] = []
         for b in batches:
-            block, item = b["block"].to_numpy(), b["set"].to_numpy()
-            if not len(block):
-                continue
-            if held is not None:
-                # The hub and the last set stand in for what came before.
-                block = np.r_[[held[0]] * 2, block]
-                item = np.r_[held[1], held[2], item]
-            new = np.r_[True, (block[1:] != block[:-1]) | (item[1:] != item[:-1])]
-            told = held is not None and held[1] != held[2]
-            block, item = block[new], item[new]
-            first = np.r_[True, block[1:] != block[:-1]]
-            starts = np.flatnonzero(first)
-            group = np.cumsum(first) - 1
-            hub = item[starts][group]
-            many = np.diff(np.r_[starts, len(block)]) > 1
-            out = many[group]
-            if told:
-                out[:2] = False  # the hub and the last set of the block have been given out already
-            held = (block[-1], hub[-1], item[-1])
-            yield pa.RecordBatch.from_pydict({"block": block[out], "set": item[out], "hub": hub[out]})
-
-    return rows.mapInArrow(stream, "block bigint, set bigint, hub bigint")
+            for row in b.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield shared(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield shared(held)
+
+    return rows.mapInArrow(stream, "block bigint, set bigint")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set, shingles as bytes) of the wanted (doc_id, text_hash, set); the doc_id may be null."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"))
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("text_hash"))
-    rows = rows.join(wanted, same).select("set", "text")
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+
+    def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Texts move compressed: the exchange takes half the room.
+        for b in batches:
+            texts = b["text"].cast(pa.binary()).to_pylist()
+            packed = pa.array([pa.compress(t, "zstd", asbytes=True) for t in texts], pa.binary())
+            size = pa.array(map(len, texts), pa.int64(), size=len(texts))
+            yield pa.RecordBatch.from_arrays([b["id"], b["hash"], size, packed], ["id", "hash", "size", "text"])
+
+    moved = rows.mapInArrow(pressed, "id bigint, hash bigint, size bigint, text binary")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    rows = moved.join(wanted, same).select("set", "size", "text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, told = Shingles(words), set()
         for b in batches:
             numbers, held = [], []
-            for name, text in zip(b["set"].to_pylist(), b["text"].to_pylist(), strict=True):
+            for name, size, text in zip(*(b[c].to_pylist() for c in ("set", "size", "text")), strict=True):
                 # Rows without doc_id, or that repeat theirs, may be many copies of one text.
                 if name in told:
                     continue
-                s = shingles.of(text)
+                s = shingles.of_bytes(pa.decompress(text, size, "zstd", asbytes=True))
                 # Other texts may have the same hash.
                 if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), signed=True) == name:
                     if len(told) >= REMEMBERED:
@@ -378,9 +452,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").mapInArrow(check, "a bigint, b bigint")
 
 
-def linked_sets(docs: DataFrame, sets: DataFrame, names: DataFrame, words: int, percent: int, rounds: int) -> DataFrame | None:
+def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: DataFrame, words: int, percent: int, rounds: int) -> DataFrame | None:
     """(set, label) for all sets that share a block with another, or None if there are none."""
-    shared = stage(shared_blocks(sets), "blocks").select("block", "set")
     if shared.isEmpty():
         return None
     some = stage(shared.select("set").distinct(), "shared")
@@ -448,12 +521,14 @@ def with_components(docs: DataFrame, words: int, percent: int, rounds: int = 3)
     """
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be in 1..100 and words at least 1")
-    sets = stage(shingle_sets(docs, words, percent), "shingles")
+    sets, packs, drop_packs = shingle_sets(docs, words, percent)
+    shared = stage(shared_blocks(packs), "blocks")
+    drop_packs()
     # The row that stands for a set: that of the smallest doc_id, or any if none has one.
     row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row")
     names = sets.where("set is not null").groupBy("set").agg(row).select("set", "row.doc_id", "row.text_hash")
     names = stage(names, "names")
-    labels = linked_sets(docs, sets, names, words, percent, rounds)
+    labels = linked_sets(docs, sets, shared, names, words, percent, rounds)
     owned = names.select("set", F.col("doc_id").alias("component_id"))
     if labels is not None:
         least = names.join(labels, "set").groupBy("label").agg(F.min("doc_id").alias("least"))
