@@ -1,36 +1,39 @@
-"""A stacked classifier on Spark ML: four base learners and a logistic meta learner.
+"""A stacked classifier: four base learners and a logistic meta learner.
 
-Boosted trees are Spark's, and the RBF-kernel machine is a linear one on random Fourier features
-(Rahimi and Recht, 2007), so every fit is a distributed Spark ML job.
+All fits of a call - every learner, every fold of every stack - are carried out together. A table of at most
+``rows_a_task`` rows is dealt to one task per fit (a forest: per some of its trees); for a larger one
+the sums that the fits ask for are made by one Spark job per step over blocks of rows, for all of them at once.
+Both ways run the same fits and give the same models.
 """
 
 from __future__ import annotations
 
+import pickle
+import uuid
 import warnings
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
+from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.operators.scale import column_scales
-from ledgerlift.operators.split import class_counts, shuffle_key, stratified_folds
-from ledgerlift.session import shared_dir, stage
+from ledgerlift.operators import trees as T
+from ledgerlift.operators.split import class_counts, stratified_folds
+from ledgerlift.session import stage
 
 LEARNERS = ("rf", "gbt_depth", "gbt_leaf", "svc")
 
 
 @dataclass(frozen=True)
 class Sizes:
-    """Model sizes. The defaults are the published ones, as far as Spark ML has them."""
+    """Model sizes. The defaults are the published ones."""
 
     # Published hyper-parameters.
     forest_trees: int = 400
@@ -38,57 +41,67 @@ class Sizes:
     boost_rounds: int = 500
     boost_rate: float = 0.05
     boost_subsample: float = 0.9
-    boost_features: str = "0.9"
+    boost_features: float = 0.9
+    boost_l2: float = 1.0
     boost_depth: int = 6
     svc_c: float = 2.0
     meta_iterations: int = 3000
     folds: int = 5
     seed: int = 42
-    # Spark ML has no unlimited depth (30 is its most) and no leaf count (31 leaves are depth 5).
-    forest_depth: int = 30
-    leaf_depth: int = 5
-    random_features: int = 500
-    svc_iterations: int = 1000
-    # The published learners bin at 255 or split exactly; the leaf-wise one needs 20 rows in a leaf.
-    max_bins: int = 256
+    # Defaults of the published learners.
+    boost_leaves: int = 31
     leaf_min_rows: int = 20
     svc_folds: int = 5
-    parallelism: int = 4
+    # Values are cut into as many bins; the kernel is that of as many landmarks, by Newton steps.
+    max_bins: int = 255
+    landmarks: int = 500
+    svc_steps: int = 100
+    # Rows up to which a fit is one task, rows of a block beyond, and trees that a task grows.
+    rows_a_task: int = 50_000
+    block_rows: int = 65_536
+    trees_a_task: int = 50
 
 
 SMALL = Sizes(
-    forest_trees=10, forest_depth=4, boost_rounds=5, boost_rate=0.3, boost_depth=3, leaf_depth=3,
-    random_features=64, svc_iterations=10, svc_folds=2, folds=2, meta_iterations=100, parallelism=8,
-    max_bins=32, leaf_min_rows=1,
+    forest_trees=10, boost_rounds=5, boost_rate=0.3, boost_depth=3, boost_leaves=8, landmarks=64,
+    svc_folds=2, folds=2, max_bins=32, leaf_min_rows=1, trees_a_task=5,
 )
 
 
 @dataclass
 class Learner:
-    """A fitted base learner: adds its probability, or its 0/1 prediction, to a table."""
+    """A fitted base learner: adds its probability, or its 0/1 prediction, to a table.
+
+    ``model`` answers ``probability`` and ``predict`` for a matrix of feature values.
+    """
 
     name: str
     model: object
-    add_score: Callable[[DataFrame, str], DataFrame] = field(repr=False)
-    add_prediction: Callable[[DataFrame, str], DataFrame] = field(repr=False)
 
     def score(self, df: DataFrame) -> DataFrame:
         return self.add_score(df, f"p_{self.name}")
 
+    def add_score(self, df: DataFrame, column: str) -> DataFrame:
+        return self._with(df, column, "probability", "double")
+
+    def add_prediction(self, df: DataFrame, column: str) -> DataFrame:
+        return self._with(df, column, "predict", "int")
+
+    def _with(self, df: DataFrame, column: str, what: str, kind: str) -> DataFrame:
+        held = df.sparkSession.sparkContext.broadcast(self.model)  # a model's size does not grow with the rows scored
 
-def _run_all(spark: SparkSession, tasks: list[Callable], parallelism: int) -> list:
-    """Start independent Spark jobs side by side and return their results in order."""
-    if not tasks:
-        return []
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks], chunksize=1)
+        @F.pandas_udf(kind)
+        def answer(features: pd.Series) -> pd.Series:
+            if features.empty:
+                return pd.Series([], dtype=float)
+            return pd.Series(getattr(held.value, what)(np.stack(features.to_numpy()).astype(float)))
 
+        return df.withColumn(column, answer(vector_to_array("features")))
 
-def feature_vector(columns: list[str], scales: dict[str, float] | None = None) -> Column:
-    """The feature columns as one vector, divided by ``scales`` where given."""
-    scales = scales or {}
-    values = [F.col(f"`{c}`").cast("double") / F.lit(scales.get(c, 1.0)) for c in columns]
-    return array_to_vector(F.array(*values))
+
+def feature_vector(columns: list[str]) -> Column:
+    """The feature columns as one vector."""
+    return array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in columns]))
 
 
 def with_weights(df: DataFrame, label: str) -> DataFrame:
@@ -103,133 +116,254 @@ def with_weights(df: DataFrame, label: str) -> DataFrame:
     return df.withColumns({"w_balanced": balanced, "w_positive": positive})
 
 
-# --- base learners --------------------------------------------------------------------------
-
-
-def _tree_learner(name: str, model) -> Learner:
-    model.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"_prob_{name}")
+# --- fits ------------------------------------------------------------------------------------
 
-    def add_score(df: DataFrame, column: str) -> DataFrame:
-        out = model.transform(df)
-        return out.withColumn(column, vector_to_array(f"_prob_{name}")[1]).drop(f"_prob_{name}")
 
-    def add_prediction(df: DataFrame, column: str) -> DataFrame:
-        return add_score(df, column).withColumn(column, (F.col(column) >= 0.5).cast("int"))
-
-    return Learner(name, model, add_score, add_prediction)
+def recipes(sizes: Sizes, boost_weight: str = "positive") -> dict[str, T.Recipe]:
+    """The three tree ensembles."""
+    shared = {"trees": sizes.boost_rounds, "rate": sizes.boost_rate, "l2": sizes.boost_l2, "features": sizes.boost_features, "seed": sizes.seed}
+    return {
+        "rf": T.Recipe("rf", True, sizes.forest_trees, min_rows=sizes.forest_min_leaf, seed=sizes.seed),
+        "gbt_depth": T.Recipe(
+            "gbt_depth", False, depth=sizes.boost_depth, min_hessian=1.0, rows=sizes.boost_subsample, weight=boost_weight, **shared
+        ),
+        # Its published row subsample has no effect without a bagging frequency, so all rows are used.
+        "gbt_leaf": T.Recipe(
+            "gbt_leaf", False, leaves=sizes.boost_leaves, min_rows=sizes.leaf_min_rows, min_hessian=1e-3,
+            from_average=True, weight="balanced", **shared,
+        ),
+    }
+
+
+def bin_edges(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+    """Upper edges of about equally full bins of each feature; a feature of few values has one bin a value."""
+    shares = [i / bins for i in range(1, bins)]
+    x = [F.when(~F.isnan(F.get("x", F.lit(j))), F.get("x", F.lit(j))) for j in range(width)]
+    found = rows.agg(*[F.percentile_approx(c, shares, 100 * bins).alias(f"q{j}") for j, c in enumerate(x)]).first()
+    return [np.unique(np.array(found[j] or [], float)) for j in range(width)]
+
+
+def fit_all(rows: DataFrame, parts: int, width: int, sizes: Sizes, learners: tuple[str, ...], boost_weight: str = "positive") -> dict:
+    """All ``learners`` on all parts: models by (name, part).
+
+    ``rows`` has key (bigint), y (0 or 1), x (array of ``width`` doubles) and use (array of booleans: which
+    parts a row belongs to).
+    """
+    edges = bin_edges(rows, width, sizes.max_bins)
+    kinds = recipes(sizes, boost_weight)
+    jobs: list[tuple[str, int, range | None]] = []
+    # The longest first.
+    for name in sorted(learners, key=("gbt_leaf", "gbt_depth", "rf", "svc").index):
+        for part in range(parts):
+            if name == "rf":
+                cuts = [*range(0, sizes.forest_trees, sizes.trees_a_task), sizes.forest_trees]
+                jobs += [(name, part, range(a, b)) for a, b in zip(cuts, cuts[1:])]
+            else:
+                jobs.append((name, part, None))
+    fit = _in_tasks if rows.count() <= sizes.rows_a_task else _by_steps
+    found: dict = {}
+    for (name, part, _), result in zip(jobs, fit(rows, parts, width, sizes, kinds, edges, jobs), strict=True):
+        if name == "rf" and (name, part) in found:
+            result = (0.0, found[name, part][1] + result[1])
+        found[name, part] = result
+    models = {}
+    for (name, part), result in found.items():
+        if name == "svc":
+            models[name, part] = result
+            if not result.converged:
+                warnings.warn(f"the kernel machine has not converged in {sizes.svc_steps} steps", stacklevel=2)
+        else:
+            start, grown = result
+            models[name, part] = T.Ensemble(kinds[name], start, grown, edges)
+    return models
+
+
+def _one_fit(name: str, part: int, width: int, sizes: Sizes, kinds: dict, numbers: range | None = None, **more):
+    if name == "svc":
+        return T.fit_kernel(part, sizes.svc_c, sizes.landmarks, sizes.svc_folds, sizes.svc_steps)
+    return T.fit_ensemble(kinds[name], part, width, numbers, **more)
+
+
+def _in_tasks(rows: DataFrame, parts: int, width: int, sizes: Sizes, kinds: dict, edges, jobs: list) -> list:
+    """One task for each fit, with the rows of its part; a forest is grown by several."""
+    labels = _labels(rows, len(jobs))
+    of_part = [[labels[i] for i, job in enumerate(jobs) if job[1] == p] for p in range(parts)]
+    number = {label: i for i, label in enumerate(labels)}
+    wanted = F.array(*[F.when(F.get("use", F.lit(p)), F.array(*map(F.lit, of_part[p]))).otherwise(F.array().cast("array<int>")) for p in range(parts)])
+    dealt = rows.select("key", "y", "x", F.explode(F.flatten(wanted)).alias("job")).repartition(len(jobs), "job")
+
+    def fit(table: pa.Table) -> pa.Table:
+        label = table["job"][0].as_py()
+        name, _, numbers = jobs[number[label]]
+        # In the order of the keys, so that the sums do not depend on that of the rows.
+        table = table.sort_by("key")
+        n = table.num_rows
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+        block = T.Block(x, table["y"].to_numpy(), np.ones((n, 1), bool), table["key"].to_numpy(), edges)
+        with np.errstate(all="ignore"):
+            result = T.alone(block, _one_fit(name, 0, width, sizes, kinds, numbers))
+        return pa.table({"job": pa.array([label], pa.int32()), "model": pa.array([pickle.dumps(result)], pa.binary())})
+
+    results = {number[r.job]: pickle.loads(r.model) for r in dealt.groupBy("job").applyInArrow(fit, "job int, model binary").collect()}
+    if len(results) < len(jobs):
+        raise ValueError("a fold has no rows to train on")
+    return [results[i] for i in range(len(jobs))]
+
+
+def _labels(rows: DataFrame, n: int) -> list[int]:
+    """Numbers whose hashes fall into partitions 0, 1, ..., so that each fit has a task of its own."""
+    ids = rows.sparkSession.range(64 * n).select(F.col("id").cast("int").alias("id"))
+    chosen = ids.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id"))
+    found = {r.part: r.id for r in chosen.collect()}
+    spare = iter(range(64 * n, 65 * n))
+    return [found[p] if p in found else next(spare) for p in range(n)]
+
+
+_blocks: dict[tuple[str, int], T.Block] = {}
+
+
+def _by_steps(rows: DataFrame, parts: int, width: int, sizes: Sizes, kinds: dict, edges, jobs: list) -> list:
+    """Every step of all fits is one job over blocks of rows; blocks are staged, and read again where a task has lost them."""
+    spark = rows.sparkSession
+    sc = spark.sparkContext
+    blocks = max(1, ceil(rows.count() / sizes.block_rows))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            table = pa.Table.from_batches(held).sort_by("key")
+            lists = [table[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1) for c in ("x", "use")]
+            packed = pickle.dumps((lists[0], table["y"].to_numpy(), lists[1], table["key"].to_numpy()))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([packed], pa.large_binary())})
+
+    dealt = rows.select("key", "y", "x", "use").repartition(blocks, "key").mapInArrow(pack, "block binary")
+    packed = stage(dealt, "blocks").rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    name = uuid.uuid4().hex
+    shared_edges = sc.broadcast(edges)
+    told: list = []
+
+    def share(grown: list):
+        told.append(sc.broadcast(list(grown)))
+        return Held(told[-1])
+
+    def total(requests: list) -> list:
+        asked = sc.broadcast(requests)
+
+        def answer(index: int, found) -> Iterator[list]:
+            if (name, index) not in _blocks:
+                for other in [k for k in _blocks if k[0] != name]:
+                    del _blocks[other]
+                loaded = [pickle.loads(bytes(r.block)) for r in found]
+                if not loaded:
+                    return
+                whole = [np.concatenate(c) for c in zip(*loaded, strict=True)]
+                _blocks[name, index] = T.Block(whole[0], whole[1], whole[2], whole[3], shared_edges.value)
+            with np.errstate(all="ignore"):
+                yield [r.of(_blocks[name, index]) for r in asked.value]
+
+        def merge(a: list, b: list) -> list:
+            return [r.merge(x, y) for r, x, y in zip(asked.value, a, b, strict=True)]
+
+        answers = packed.mapPartitionsWithIndex(answer)
+        out = answers.collect()[0] if blocks == 1 else answers.treeReduce(merge)
+        asked.unpersist()
+        return out
+
+    fits = {}
+    for i, (kind, part, numbers) in enumerate(jobs):
+        more = {} if kind == "svc" else {"share": share, "fit": name}
+        fits[i] = _one_fit(kind, part, width, sizes, kinds, numbers, **more)
+    with np.errstate(all="ignore"):
+        found = T.together(total, fits)
+    packed.unpersist()
+    return [found[i] for i in range(len(jobs))]
 
 
-def fit_forest(df: DataFrame, label: str, sizes: Sizes, weight: str | None = "w_balanced") -> Learner:
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol=label, weightCol=weight, numTrees=sizes.forest_trees,
-        maxDepth=sizes.forest_depth, maxBins=sizes.max_bins, minInstancesPerNode=sizes.forest_min_leaf, seed=sizes.seed,
-    )
-    return _tree_learner("rf", forest.fit(df))
-
-
-def fit_boosted(
-    df: DataFrame, label: str, sizes: Sizes, name: str, depth: int, weight: str | None,
-    min_rows: int = 1, subsample: float | None = None,
-) -> Learner:
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        # Boosting cuts its lineage every few rounds, but only if the context has a folder for it.
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    boosted = GBTClassifier(
-        featuresCol="features", labelCol=label, maxIter=sizes.boost_rounds, stepSize=sizes.boost_rate,
-        maxDepth=depth, maxBins=sizes.max_bins, minInstancesPerNode=min_rows,
-        subsamplingRate=sizes.boost_subsample if subsample is None else subsample, featureSubsetStrategy=sizes.boost_features,
-        seed=sizes.seed,
-    )
-    if weight is not None:
-        boosted = boosted.setWeightCol(weight)
-    return _tree_learner(name, boosted.fit(df))
-
-
-def scale_gamma(df: DataFrame) -> float:
-    """1 / (features * variance over all entries of the feature matrix)."""
-    row = df.select(
-        Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")
-    ).first()["s"]
-    mean, n = row["mean"].toArray(), row["count"]
-    within = row["variance"].toArray() * (n - 1) / n
-    overall = float((within + mean**2).mean() - mean.mean() ** 2)
-    return 1.0 / (len(mean) * overall) if overall > 0 else 1.0
-
-
-def random_fourier_map(width: int, gamma: float, outputs: int, seed: int) -> Callable[[Column], Column]:
-    """A column function from a feature array to ``outputs`` cosine features."""
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(scale=np.sqrt(2 * gamma), size=(width, outputs))
-    phases = rng.uniform(0, 2 * np.pi, size=outputs)
-    factor = np.sqrt(2.0 / outputs)
-
-    @F.pandas_udf("array<double>")
-    def fourier(arrays: pd.Series) -> pd.Series:
-        if arrays.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(factor * np.cos(np.stack(arrays.to_numpy()) @ directions + phases)))
-
-    return fourier
-
-
-def fit_svc(df: DataFrame, label: str, sizes: Sizes, id: str, weight: str = "w_balanced") -> Learner:
-    """Linear SVM on random Fourier features, with probabilities from out-of-fold margins."""
-    width = len(df.select("features").first()["features"])
-    fourier = random_fourier_map(width, scale_gamma(df), sizes.random_features, sizes.seed)
-    mapped = df.withColumn("_fourier", array_to_vector(fourier(vector_to_array("features"))))
-    mapped = stage(mapped.select(id, label, weight, "_fourier"), "fourier")
-    total = mapped.agg(F.sum(weight)).first()[0]
-    svm = LinearSVC(
-        featuresCol="_fourier", labelCol=label, weightCol=weight, maxIter=sizes.svc_iterations,
-        regParam=1.0 / (sizes.svc_c * total), standardization=False, predictionCol="", rawPredictionCol="_margin",
-    )
+@dataclass(frozen=True)
+class Held:
+    """Earlier trees, as a broadcast."""
 
-    def margin(model, rows: DataFrame) -> DataFrame:
-        return model.transform(rows).withColumn("_margin", vector_to_array("_margin")[1])
+    broadcast: object
 
-    part = F.pmod(F.conv(F.substring(shuffle_key(id, sizes.seed + 1), 1, 8), 16, 10).cast("bigint"), F.lit(sizes.svc_folds))
-    folded = mapped.withColumn("_part", part)
+    @property
+    def value(self) -> list:
+        return self.broadcast.value
 
-    def fold_margins(k: int) -> DataFrame:
-        return margin(svm.fit(folded.where(F.col("_part") != k)), folded.where(F.col("_part") == k))
 
-    tasks = [lambda k=k: fold_margins(k) for k in range(sizes.svc_folds)]
-    margins = _run_all(df.sparkSession, tasks, sizes.parallelism)
-    held_out = reduce(DataFrame.unionByName, margins).withColumn("_m", array_to_vector(F.array("_margin")))
-    platt = LogisticRegression(
-        featuresCol="_m", labelCol=label, weightCol=weight, standardization=False, maxIter=sizes.meta_iterations
-    ).fit(held_out)
-    slope, shift = float(platt.coefficients[0]), float(platt.intercept)
-    final = svm.fit(mapped)
-    if final.summary().totalIterations >= sizes.svc_iterations:
-        warnings.warn(f"the kernel machine has not converged in {sizes.svc_iterations} iterations", stacklevel=2)
+def training_rows(df: DataFrame, label: str, id: str, *columns: Column) -> DataFrame:
+    """key, y and x of a table with a ``features`` vector, and more columns."""
+    return df.select(
+        F.xxhash64(id).alias("key"), F.col(label).cast("int").alias("y"), vector_to_array("features").alias("x"), *columns
+    )
 
-    def with_margin(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("_fourier", array_to_vector(fourier(vector_to_array("features"))))
-        return margin(final, rows).drop("_fourier")
 
-    def add_score(rows: DataFrame, column: str) -> DataFrame:
-        p = 1 / (1 + F.exp(-(F.col("_margin") * F.lit(slope) + F.lit(shift))))
-        return with_margin(rows).withColumn(column, p).drop("_margin")
+def fit_learner(df: DataFrame, label: str, id: str, name: str, sizes: Sizes = Sizes(), boost_weight: str = "positive") -> Learner:
+    """One base learner on all rows of a table with a ``features`` vector."""
+    rows = stage(training_rows(df, label, id, F.array(F.lit(True)).alias("use")), "train")
+    first = rows.first()
+    if first is None:
+        raise ValueError("there are no rows to train on")
+    return Learner(name, fit_all(rows, 1, len(first["x"]), sizes, (name,), boost_weight)[name, 0])
 
-    def add_prediction(rows: DataFrame, column: str) -> DataFrame:
-        return with_margin(rows).withColumn(column, (F.col("_margin") > 0).cast("int")).drop("_margin")
 
-    return Learner("svc", final, add_score, add_prediction)
+# --- the logistic meta learner ----------------------------------------------------------------
 
 
-def base_fits(df: DataFrame, label: str, id: str, sizes: Sizes, boost_weight: str | None = "w_positive") -> dict[str, Callable]:
-    """For each base learner a function that fits it on ``df``."""
-    return {
-        "rf": lambda: fit_forest(df, label, sizes),
-        "gbt_depth": lambda: fit_boosted(df, label, sizes, "gbt_depth", sizes.boost_depth, boost_weight),
-        # Its published row subsample has no effect without a bagging frequency, so all rows are used.
-        "gbt_leaf": lambda: fit_boosted(
-            df, label, sizes, "gbt_leaf", sizes.leaf_depth, "w_balanced", sizes.leaf_min_rows, 1.0
-        ),
-        "svc": lambda: fit_svc(df, label, sizes, id),
-    }
+@dataclass
+class Logistic:
+    """Coefficients of a fitted logistic regression."""
+
+    coefficients: list[float]
+    intercept: float
+
+
+def fit_logistic(rows: DataFrame, inputs: list[str], label: str, weight: str, group: str, groups: int, penalty: float = 1.0, steps: int = 100) -> list[Logistic]:
+    """A weighted logistic regression with an L2 term for each group 0, 1, ...: Newton's method.
+
+    Gradient and Hessian of all groups are one aggregate per step; only these few numbers reach the driver.
+    """
+    names = [F.col(c).cast("double") for c in inputs] + [F.lit(1.0)]
+    n = len(names)
+    beta = np.zeros((groups, n))
+    ridge = np.r_[np.full(n - 1, penalty), 0.0]
+
+    def sums(beta: np.ndarray) -> dict[int, np.ndarray]:
+        held = F.array(*[F.array(*[F.lit(float(v)) for v in line]) for line in beta])
+        own = F.get(held, F.col(group))
+        margin = sum((F.get(own, F.lit(i)) * c for i, c in enumerate(names)), F.lit(0.0))
+        judged = rows.withColumn("_p", 1 / (1 + F.exp(-margin))).withColumn("_c", F.col(weight) * F.col("_p") * (1 - F.col("_p")))
+        out = judged.groupBy(group).agg(
+            *[F.sum(F.col(weight) * (F.col("_p") - F.col(label)) * c).alias(f"g{i}") for i, c in enumerate(names)],
+            *[F.sum(F.col("_c") * names[i] * names[j]).alias(f"h{i}_{j}") for i in range(n) for j in range(i + 1)],
+            F.sum(F.col(weight) * (F.log1p(F.exp(-F.abs(margin))) + F.greatest(margin, F.lit(0.0)) - F.col(label) * margin)).alias("loss"),
+        )
+        found = {}
+        for r in out.collect():
+            h = np.array([[r[f"h{max(i, j)}_{min(i, j)}"] for j in range(n)] for i in range(n)])
+            found[r[group]] = (np.array([r[f"g{i}"] for i in range(n)]), h, r["loss"])
+        return found
+
+    def total_loss(k: int, loss: float, beta: np.ndarray) -> float:
+        return loss + float((ridge * beta[k] ** 2).sum()) / 2
+
+    here = sums(beta)
+    size = np.ones(groups)
+    for _ in range(steps):
+        move = np.zeros_like(beta)
+        for k, (g, h, _) in here.items():
+            move[k] = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(n), g + ridge * beta[k])
+        if np.abs(move).max(initial=0.0) < 1e-9:
+            break
+        # Halve the step of a group whose loss would rise.
+        size[:] = 1.0
+        while True:
+            there = sums(beta - size[:, None] * move)
+            worse = [k for k in here if total_loss(k, there[k][2], beta - size[:, None] * move) > total_loss(k, here[k][2], beta) + 1e-9]
+            if not worse or size.min() < 1e-6:
+                break
+            size[worse] /= 2
+        beta, here = beta - size[:, None] * move, there
+    return [Logistic(line[:-1].tolist(), float(line[-1])) for line in beta]
 
 
 # --- the stack ------------------------------------------------------------------------------
@@ -237,16 +371,15 @@ def base_fits(df: DataFrame, label: str, id: str, sizes: Sizes, boost_weight: st
 
 @dataclass
 class StackModel:
-    """Scaling, fitted base learners and meta learner."""
+    """Fitted base learners and meta learner."""
 
     features: list[str]
-    scales: dict[str, float]
     learners: dict[str, Learner]
-    meta: object
+    meta: Logistic
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Add the scaled ``features`` vector."""
-        return df.withColumn("features", feature_vector(self.features, self.scales))
+        """Add the ``features`` vector."""
+        return df.withColumn("features", feature_vector(self.features))
 
     def score(self, df: DataFrame, column: str = "p") -> DataFrame:
         """Add the positive-class probability to a table with the feature columns."""
@@ -270,34 +403,60 @@ def weight_table(spark, model: StackModel) -> DataFrame:
     return spark.createDataFrame(list(model.weights().items()), "model string, weight double")
 
 
+def fit_stacks(
+    df: DataFrame, features: list[str], label: str, id: str, members: list[Column], sizes: Sizes = Sizes(),
+    learners: tuple[str, ...] = LEARNERS,
+) -> list[StackModel]:
+    """A stack on the rows of each member column: base learners per fold, the meta learner on their
+    out-of-fold scores, base learners on all rows. All of it is fitted together.
+    """
+    flags = [f"m{s}" for s in range(len(members))]
+    rows = df.select(
+        F.col(id).alias("id"), F.col(label).cast("int").alias("y"), feature_vector(features).alias("features"),
+        *[F.coalesce(m, F.lit(False)).alias(f) for m, f in zip(members, flags, strict=True)],
+    )
+    rows = stage(rows, "rows")
+    # Folds are dealt within each stack; a row that is not in it has no fold there.
+    for flag in flags:
+        own = stratified_folds(rows.where(flag).select("id", "y"), "y", "id", sizes.folds, sizes.seed + 7)
+        own = with_weights(own, "y").select("id", F.struct("fold", "w_balanced").alias(f"in_{flag}"))
+        rows = rows.join(own, "id", "left")
+    whole = sizes.folds + 1
+    use = [(F.col(f"in_{f}.fold") != k) if k < sizes.folds else F.col(f) for f in flags for k in range(whole)]
+    within = F.array(*[F.struct(F.col(f"in_{f}.fold").alias("fold"), F.col(f"in_{f}.w_balanced").alias("w")) for f in flags])
+    table = training_rows(rows, "y", "id", F.array(*[F.coalesce(u, F.lit(False)) for u in use]).alias("use"), within.alias("within"))
+    table = stage(table, "train")
+    models = fit_all(table, whole * len(members), len(features), sizes, learners)
+
+    held = df.sparkSession.sparkContext.broadcast({k: m for k, m in models.items() if k[1] % whole < sizes.folds})
+    names = [f"p_{n}" for n in learners]
+
+    def out_of_fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b["x"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            fold, part = b["fold"].to_numpy(), b["stack"].to_numpy() * whole
+            p = np.zeros((b.num_rows, len(learners)))
+            for which in np.unique(part + fold).tolist():
+                at = part + fold == which
+                for j, name in enumerate(learners):
+                    p[at, j] = held.value[name, which].probability(x[at])
+            yield pa.RecordBatch.from_arrays([b["stack"], b["y"], b["w"], *[pa.array(c) for c in p.T]], ["stack", "y", "w", *names])
+
+    left_out = table.select("x", "y", F.posexplode("within").alias("stack", "z")).where("z.fold is not null")
+    left_out = left_out.select("x", F.col("y").cast("double").alias("y"), F.col("stack"), F.col("z.fold").cast("int").alias("fold"), F.col("z.w").cast("double").alias("w"))
+    schema = ", ".join(["stack int", "y double", "w double", *[f"`{n}` double" for n in names]])
+    blended = stage(left_out.mapInArrow(out_of_fold, schema), "held-out")
+    metas = fit_logistic(blended, names, "y", "w", "stack", len(members), steps=sizes.meta_iterations)
+    return [
+        StackModel(features, {n: Learner(n, models[n, s * whole + sizes.folds]) for n in learners}, meta) for s, meta in enumerate(metas)
+    ]
+
+
 def fit_stack(
     df: DataFrame, features: list[str], label: str, id: str, sizes: Sizes = Sizes(), learners: tuple = LEARNERS
 ) -> StackModel:
-    """Fit the base learners per fold, the meta learner on their out-of-fold scores, then refit."""
-    scales = column_scales(df, features)
-    rows = df.select(F.col(id).alias("id"), F.col(label).cast("int").alias("y"), feature_vector(features, scales).alias("features"))
-    rows = with_weights(rows, "y")
-    rows = stage(stratified_folds(rows, "y", "id", sizes.folds, sizes.seed + 7), "train")
-
-    # All fits are independent: those of each fold, and those on all rows.
-    parts = [rows.where(F.col("fold") != k) for k in range(sizes.folds)] + [rows]
-    fits = [base_fits(part, "y", "id", sizes)[name] for part in parts for name in learners]
-    models = _run_all(df.sparkSession, fits, sizes.parallelism)
-    width = len(learners)
-    held_out = []
-    for k in range(sizes.folds):
-        fold_models = models[k * width : (k + 1) * width]
-        part = reduce(lambda d, m: m.score(d), fold_models, rows.where(F.col("fold") == k))
-        held_out.append(part.drop("features"))
-    inputs = [f"p_{n}" for n in learners]
-    blended = stage(reduce(DataFrame.unionByName, held_out), "held-out")
-    blended = blended.withColumn("_inputs", feature_vector(inputs))
-    total = blended.agg(F.sum("w_balanced")).first()[0]
-    meta = LogisticRegression(
-        featuresCol="_inputs", labelCol="y", weightCol="w_balanced", regParam=1.0 / total, elasticNetParam=0.0,
-        standardization=False, maxIter=sizes.meta_iterations,
-    ).fit(blended)
-    return StackModel(features, scales, dict(zip(learners, models[-width:])), meta)
+    """A stack on all rows."""
+    return fit_stacks(df, features, label, id, [F.lit(True)], sizes, learners)[0]
 
 
 def cross_validated_scores(
@@ -305,9 +464,9 @@ def cross_validated_scores(
 ) -> DataFrame:
     """``id, y, fold, p``: every row scored by a stack that has not seen its fold."""
     folded = stage(stratified_folds(df, label, id, folds, sizes.seed), "folds")
+    stacks = fit_stacks(folded, features, label, id, [F.col("fold") != k for k in range(folds)], sizes)
     parts = []
-    for k in range(folds):
-        model = fit_stack(folded.where(F.col("fold") != k), features, label, id, sizes)
+    for k, model in enumerate(stacks):
         scored = model.score(folded.where(F.col("fold") == k))
         parts.append(scored.select(F.col(id).alias("id"), F.col(label).alias("y"), "fold", "p"))
     return stage(reduce(DataFrame.unionByName, parts), "cross-validated")

@@ -13,15 +13,13 @@ from ledgerlift.operators.model import (
     LEARNERS,
     Sizes,
     StackModel,
-    base_fits,
     cross_validated_scores,
     feature_vector,
+    fit_learner,
     fit_stack,
     weight_table,
-    with_weights,
 )
 from ledgerlift.operators.rank import global_rank
-from ledgerlift.operators.scale import column_scales
 from ledgerlift.operators.split import stratified_split
 from ledgerlift.session import stage
 
@@ -97,16 +95,11 @@ def single_model_importances(
     features = feature_names(supervised, target)
     rows = with_row_id(supervised, target).withColumn("y", F.col(target).cast("int"))
     rows = stage(stratified_split(rows, "y", "row_id", test_size, sizes.seed), "split")
-    scales = column_scales(rows.where("split = 'train'"), features)
-
-    def vectors(divisors: dict[str, float] | None) -> tuple[DataFrame, DataFrame]:
-        table = rows.select(F.col("row_id").alias("id"), "y", "split", feature_vector(features, divisors).alias("features"))
-        return with_weights(table.where("split = 'train'"), "y"), table.where("split = 'test'")
-
+    table = rows.select(F.col("row_id").alias("id"), "y", "split", feature_vector(features).alias("features"))
+    train, test = table.where("split = 'train'"), table.where("split = 'test'")
     parts = []
     for name in LEARNERS:
-        train, test = vectors(scales if name == "svc" else None)
-        learner = base_fits(train, "y", "id", sizes, boost_weight=None)[name]()
+        learner = fit_learner(train, "y", "id", name, sizes, boost_weight="none")
         parts.append(importance.learner_importance(learner, test, features, repeats))
     return reduce(DataFrame.unionByName, parts)
 
