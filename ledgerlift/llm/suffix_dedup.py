@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +26,9 @@ SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 64
 #: Suffixes of one anchor that a task compares at once; beyond it they are compared string by string.
 MOST_SUFFIXES = 500_000
 RANGES_A_TASK = 4
-PLACE_BITS = 40
 #: Bits of an anchor's hash that say whether documents share it, besides those that choose its part.
 TOKEN_BITS = 40
-PACKED = ("part", "ids", "tokens", "docs", "several", "told_tokens", "told_docs")
+PACKED = ("part", "names", "tokens", "docs", "several", "told_tokens", "told_docs")
 
 U = np.uint64
 K1, K2, K3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -183,12 +183,6 @@ def fixed_rows(column: pa.Array, size: int) -> np.ndarray:
     return flat.reshape(len(column), size)
 
 
-def mark_of(text: str) -> int:
-    """23 bits of the text, which tell rows with one doc_id but different texts apart."""
-    digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest()
-    return int.from_bytes(digest) & 0x7FFFFF
-
-
 def five_bytes(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
 
@@ -200,16 +194,18 @@ def from_five_bytes(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.int64)
 
 
-def packed_anchors(hashes: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
+def packed_anchors(hashes: np.ndarray, docs: np.ndarray, names: np.ndarray, parts: int) -> pa.RecordBatch:
     """Anchors of a batch of documents, packed into one row per part (hash modulo ``parts``).
 
-    A part gets every anchor once: its token, a document that has it, and whether another document of the
-    batch has it too. Anchors that documents of the batch share among themselves are told apart, as
-    ``told`` tokens and documents, so one that a third of all documents hold is one entry per batch.
-    Tokens are the upper bits of the hash; two anchors of one token only cost a needless comparison.
+    ``docs`` are the documents' places in ``names``, rows of doc_id and hash of the text. A part gets every
+    anchor once: its token, a document that has it, and whether another doc_id of the batch has it too.
+    Anchors that doc_ids of the batch share among themselves are told apart, as ``told`` tokens and
+    documents, so one that a third of all documents hold is one entry per batch. Tokens are the upper
+    bits of the hash; two anchors of one token only cost a needless comparison.
     """
     order = np.argsort(hashes, kind="stable")
-    hashes, ids = hashes[order], ids[order]
+    hashes, docs = hashes[order], docs[order]
+    ids = names[docs, 0]
     starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
     size = np.diff(np.r_[starts, len(hashes)])
     if len(starts):
@@ -221,16 +217,16 @@ def packed_anchors(hashes: np.ndarray, ids: np.ndarray, parts: int) -> pa.Record
     part, told_part = (hashes[starts] % U(parts)).astype(np.int64), (hashes[told] % U(parts)).astype(np.int64)
     by_part, by_told = np.argsort(part, kind="stable"), np.argsort(told_part, kind="stable")
     cuts, told_cuts = (np.searchsorted(x, np.arange(parts + 1)) for x in (part[by_part], told_part[by_told]))
-    tokens, token_ids = hashes[starts] >> U(64 - TOKEN_BITS), ids[starts]
-    told_tokens, told_ids = hashes[told] >> U(64 - TOKEN_BITS), ids[told]
+    tokens, token_docs = hashes[starts] >> U(64 - TOKEN_BITS), docs[starts]
+    told_tokens, told_docs = hashes[told] >> U(64 - TOKEN_BITS), docs[told]
     for p in range(parts):
         mine, also = by_part[cuts[p] : cuts[p + 1]], by_told[told_cuts[p] : told_cuts[p + 1]]
         if not len(mine):
             continue
-        names, place = np.unique(np.r_[token_ids[mine], told_ids[also]], return_inverse=True)
-        place = place.astype("<u2" if len(names) <= 1 << 16 else "<u4")
+        own, place = np.unique(np.r_[token_docs[mine], told_docs[also]], return_inverse=True)
+        place = place.astype("<u2" if len(own) <= 1 << 16 else "<u4")
         out["part"].append(p)
-        out["ids"].append(names.tobytes())
+        out["names"].append(names[own].tobytes())
         out["tokens"].append(five_bytes(tokens[mine]))
         out["docs"].append(place[: len(mine)].tobytes())
         out["several"].append(np.packbits(several[mine]).tobytes())
@@ -240,10 +236,10 @@ def packed_anchors(hashes: np.ndarray, ids: np.ndarray, parts: int) -> pa.Record
 
 
 def shared_tokens(rows: list[dict]) -> pa.RecordBatch:
-    """(id, token) of all anchors of one part that at least two documents hold."""
+    """(id, hash, token) of all anchors of one part that at least two doc_ids hold."""
     token, doc, several, known = [], [], [], []
     for r in rows:
-        names = np.frombuffer(r["ids"], np.int64)
+        names = np.frombuffer(r["names"], np.int64).reshape(-1, 2)
         kind = "<u2" if len(names) <= 1 << 16 else "<u4"
         token.append(from_five_bytes(r["tokens"]))
         doc.append(names[np.frombuffer(r["docs"], kind)])
@@ -253,11 +249,33 @@ def shared_tokens(rows: list[dict]) -> pa.RecordBatch:
     order = np.argsort(token, kind="stable")
     token, doc, several = token[order], doc[order], several[order]
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    shared = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+    ids = doc[:, 0]
+    shared = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
     shared |= np.logical_or.reduceat(several, starts)
     out = np.repeat(shared, np.diff(np.r_[starts, len(token)])) & ~several
-    ids, tokens = (np.concatenate([a, *b]) for a, b in ((doc[out], [k[0] for k in known]), (token[out], [k[1] for k in known])))
-    return pa.RecordBatch.from_pydict({"id": ids, "token": tokens})
+    names, tokens = (np.concatenate([a, *b]) for a, b in ((doc[out], [k[0] for k in known]), (token[out], [k[1] for k in known])))
+    return pa.RecordBatch.from_pydict({"id": names[:, 0], "hash": names[:, 1], "token": tokens})
+
+
+def settled_here(ids: np.ndarray, own: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Suffixes of which a smaller id has an equal one in these rows, so that all their strings go.
+
+    They need not be compared any more: whatever a third of all documents say costs one row per batch.
+    """
+    width = -(-around.shape[1] // 8)
+    words = np.zeros((len(ids), 8 * width), np.uint8)
+    words[:, : around.shape[1]] = around
+    words = words.view("<u8")
+    name = mixed(own.astype(U) * K1)
+    for w in range(width):
+        name = mixed((name ^ words[:, w]) * K1)
+    order = np.lexsort((ids, name))
+    name = name[order]
+    first = np.maximum.accumulate(np.where(np.r_[True, name[1:] != name[:-1]], np.arange(len(name)), 0))
+    same = (words[order] == words[order[first]]).all(axis=1) & (own[order] == own[order[first]])
+    out = np.zeros(len(ids), bool)
+    out[order] = same & (ids[order] > ids[order[first]])
+    return out
 
 
 def splitters(rows: DataFrame, n: int, length: int) -> np.ndarray:
@@ -274,7 +292,7 @@ def splitters(rows: DataFrame, n: int, length: int) -> np.ndarray:
                 out += [int.from_bytes(data[p : p + 8].tobytes()) - 2**63 for p in place]
             yield pa.RecordBatch.from_pydict({"lead": pa.array(out, pa.int64())})
 
-    sample = rows.sample(min(1.0, SAMPLE_DOCS / total), seed=7).limit(2 * SAMPLE_DOCS)
+    sample = rows.sample(min(1.0, SAMPLE_DOCS / total), seed=7)
     found = sample.select("text").mapInArrow(leads, "lead bigint").toPandas()["lead"].to_numpy()
     found = np.sort((found.astype(np.int64) ^ np.int64(-(2**63))).view(U))
     return found[np.arange(1, n) * len(found) // n] if len(found) else np.zeros(0, U)
@@ -287,36 +305,43 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     count, strings are judged on the whole input texts, and never cross documents.
 
     A whole text that a smaller doc_id has too is settled first, so copies cost nothing further. Texts are
-    shuffled once, by doc_id. Suffixes of an anchor that more than ``most`` have are not gathered in a task:
-    their strings are compared by a join on 128-bit digests, which the adaptive join splits where hot.
+    shuffled once. A suffix that a smaller doc_id of its batch has, with all that its strings span, is settled
+    before the exchange. Different suffixes of an anchor that more than ``most`` have are not gathered in a
+    task: their strings are compared by a join on 128-bit digests, which the adaptive join splits where hot.
 
     A null text is an empty one; a null doc_id counts as the smallest; rows that share a doc_id are not
-    compared with each other; texts shorter than ``length`` stay whole; an empty table gives an empty one;
-    other columns are not looked at.
+    compared with each other, and each is judged by its own text; a very long text is judged whole; texts
+    shorter than ``length`` stay whole; repeated rows have the same result; an empty table gives an empty
+    one; other columns are not looked at.
     """
     if not GRAM < length <= GRAM + 62:
         raise ValueError(f"length must be in {GRAM + 1}..{GRAM + 62}")
     lowest = F.lit(-(2**63)).cast("bigint")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), lowest).alias("id"), whole_text().alias("text"))
+    # Rows of one doc_id are told apart by their texts; rows without doc_id may be a third of the table.
+    rows = rows.withColumn("hash", F.xxhash64("text"))
     width = shuffle_width(docs.sparkSession)
     n_ranges = width * RANGES_A_TASK
     cuts = splitters(rows, n_ranges, length)
     span = length - GRAM + 1
 
-    named = rows.where(F.octet_length("text") >= length).select("id", F.sha2("text", 256).alias("digest"))
+    named = rows.where(F.octet_length("text") >= length).select("id", "hash", F.sha2("text", 256).alias("digest"))
     first = named.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     copies = named.join(first.select("digest", "first"), "digest").where("id > first")
-    copies = stage(copies.select("id", "digest").distinct(), "copies")
+    copies = stage(copies.select("id", "hash").distinct(), "copies")
 
     def own_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found, ids = [], []
-            for i, text in zip(b["id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                place, hashes, _ = anchors(buffer(text), length)
+            found, seen = [], None
+            for i, h, text in zip(*(b[c].to_pylist() for c in ("id", "hash", "text")), strict=True):
+                # Rows come in order of their names: of repeated ones one will do.
+                place, hashes, _ = anchors(buffer(text if seen != (i, h) else ""), length)
                 found.append(np.unique(hashes[place]))
-                ids.append(np.full(len(found[-1]), i, np.int64))
+                seen = (i, h)
             if found:
-                yield packed_anchors(np.concatenate(found), np.concatenate(ids), width)
+                at = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                names = np.stack([b["id"].to_numpy(), b["hash"].to_numpy()], axis=1)
+                yield packed_anchors(np.concatenate(found), at, names, width)
 
     def shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -331,9 +356,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = []
-            columns = (b["id"].to_pylist(), b["text"].to_pylist(), b["shared"])
-            for i, text, wanted in zip(*columns, strict=True):
+            parts, seen = [], None
+            columns = (b["id"].to_pylist(), b["hash"].to_pylist(), b["text"].to_pylist(), b["shared"])
+            for i, h, text, wanted in zip(*columns, strict=True):
+                if seen == (i, h):
+                    continue
+                seen = (i, h)
                 data = buffer(text)
                 place, hashes, least = anchors(data, length)
                 token = (hashes[place] >> U(64 - TOKEN_BITS)).astype(np.int64)
@@ -346,26 +374,35 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
                 anchor = hashes[place]
                 # A leading word that fills several ranges is spread over them by its anchor.
                 part = low + (anchor % (high - low + 1).astype(U)).astype(np.int64)
-                spot = mark_of(text) << PLACE_BITS | place
-                parts.append((part.astype(np.int32), np.full(len(place), i), spot, own, around))
+                parts.append((part.astype(np.int32), np.full(len(place), i), np.full(len(place), h), place, own, around))
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
                 around = columns.pop()
-                size = around.shape[1]
-                held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(around), [None, pa.py_buffer(around.tobytes())])
-                arrays = [*map(pa.array, columns), held.cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["part", "id", "spot", "own", "around"])
+                done = settled_here(columns[1], columns[4], around)
+                # What is settled only passes through, spread by its place; the rest is compared.
+                columns[0][done] = (mixed(columns[2][done].astype(U) + columns[3][done].astype(U)) % U(n_ranges)).astype(np.int32)
+                order = np.r_[np.flatnonzero(done), np.flatnonzero(~done)]
+                n, size = int(done.sum()), around.shape[1]
+                flat = around[order[n:]].tobytes()
+                ends = np.r_[np.zeros(n, np.int32), np.arange(len(order) - n + 1, dtype=np.int32) * size]
+                held = pa.BinaryArray.from_buffers(pa.binary(), len(order), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+                arrays = [*(pa.array(c[order]) for c in columns), held]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "id", "hash", "spot", "own", "around"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by range and anchor: whole anchors are gathered up to ``most`` rows, then compared."""
+        """Sorted by range and anchor: whole anchors are gathered up to ``most`` rows, then compared.
+
+        Rows without bytes around them are settled already.
+        """
         held: list[tuple] = []
         size = 0
         hot = None  # the anchor that has turned out to have too many suffixes
 
-        def out(ids, spot, offsets, digest=None):
+        def out(ids, hashes, spot, offsets, digest=None):
             return pa.RecordBatch.from_pydict(
                 {
                     "id": pa.array(ids, pa.int64()),
+                    "hash": pa.array(hashes, pa.int64()),
                     "spot": pa.array(spot, pa.int64()),
                     "offsets": pa.array(offsets, pa.int64()),
                     "digest": pa.array(digest if digest is not None else [None] * len(ids), pa.binary()),
@@ -373,23 +410,28 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             )
 
         def settle(rows: list[tuple]) -> pa.RecordBatch:
-            _, ids, spot, own, around = (np.concatenate(c) for c in zip(*rows, strict=True))
+            _, ids, hashes, spot, own, around = (np.concatenate(c) for c in zip(*rows, strict=True))
             before, after = around[:, : span - 1][:, ::-1], around[:, span - 1 :]
             bits = repeated_strings(before, after, own, ids, length)
             hit = bits != 0
-            return out(ids[hit], spot[hit], bits[hit])
+            return out(ids[hit], hashes[hit], spot[hit], bits[hit])
 
         def undecided(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            for _, ids, spot, own, around in rows:
+            for _, ids, hashes, spot, own, around in rows:
                 for d, at, digests in strings_of(around, own, length):
-                    yield out(ids[at], spot[at], np.full(len(at), 1 << d, np.int64), digests)
+                    yield out(ids[at], hashes[at], spot[at], np.full(len(at), 1 << d, np.int64), digests)
 
         for b in batches:
+            done = pc.equal(pc.binary_length(b["around"]), 0)
+            if pc.any(done).as_py():
+                told = b.filter(done)
+                yield out(told["id"], told["hash"], told["spot"], told["own"])
+                b = b.filter(pc.invert(done))
             if not b.num_rows:
                 continue
             flat = fixed_rows(b["around"], span - 1 + length)
             anchor = np.ascontiguousarray(flat[:, span - 1 : span - 1 + GRAM]).view("S%d" % GRAM).ravel()
-            columns = [anchor, *(b[c].to_numpy() for c in ("id", "spot", "own"))]
+            columns = [anchor, *(b[c].to_numpy() for c in ("id", "hash", "spot", "own"))]
             starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
             for start, end in zip(starts, [*starts[1:], len(anchor)], strict=True):
                 rows = (*(c[start:end] for c in columns), flat[start:end])
@@ -417,45 +459,46 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
         if held:
             yield settle(held)
 
-    # The same exchange of the texts by id serves all three joins.
-    originals = rows.join(copies.select("id").distinct(), "id", "left_anti")
+    # The same exchange of the texts serves all three joins.
+    name = ["id", "hash"]
+    originals = rows.join(copies, name, "left_anti").select("id", "hash", "text")
     blobs = originals.mapInArrow(own_anchors, ", ".join(f"{n} {'int' if n == 'part' else 'binary'}" for n in PACKED))
     shared = blobs.repartition(width, "part").sortWithinPartitions("part")
-    shared = shared.mapInArrow(shared_anchors, "id bigint, token bigint")
-    wanted = shared.groupBy("id").agg(F.collect_list("token").alias("shared"))
-    placed = rows.join(wanted, "id").mapInArrow(
-        suffixes, "part int, id bigint, spot bigint, own bigint, around binary"
+    shared = shared.mapInArrow(shared_anchors, "id bigint, hash bigint, token bigint")
+    wanted = shared.groupBy(*name).agg(F.collect_list("token").alias("shared"))
+    placed = rows.join(wanted, name).select("id", "hash", "text", "shared").mapInArrow(
+        suffixes, "part int, id bigint, hash bigint, spot bigint, own bigint, around binary"
     )
     gram = F.substring("around", span, GRAM)
     ranged = placed.repartition(width, "part").sortWithinPartitions("part", gram)
-    judged = ranged.select("id", "spot", "own", "around").mapInArrow(
-        compare, "id bigint, spot bigint, offsets bigint, digest binary"
+    judged = ranged.select("id", "hash", "spot", "own", "around").mapInArrow(
+        compare, "id bigint, hash bigint, spot bigint, offsets bigint, digest binary"
     )
-    judged = judged.repartition(width, "id", "spot", "offsets")
+    # Read three times below, compared once.
+    judged = stage(judged, "judged")
     late = judged.where("digest is not null")
     least = late.groupBy("digest").agg(F.min("id").alias("least"))
-    settled = late.join(least, "digest").where("id > least").select("id", "spot", "offsets")
-    marks = judged.where("digest is null").select("id", "spot", "offsets").unionByName(settled)
-    whole = copies.select("id", F.lit(None).cast("bigint").alias("spot"), F.lit(None).cast("bigint").alias("offsets"), "digest")
-    marks = marks.withColumn("digest", F.lit(None).cast("string")).unionByName(whole)
-    marks = marks.groupBy("id").agg(
+    settled = late.join(least, "digest").where("id > least").select("id", "hash", "spot", "offsets")
+    marks = judged.where("digest is null").select("id", "hash", "spot", "offsets").unionByName(settled)
+    none = F.lit(None).cast("bigint")
+    whole = copies.select("id", "hash", none.alias("spot"), none.alias("offsets"), F.lit(True).alias("copy"))
+    marks = marks.withColumn("copy", F.lit(False)).unionByName(whole)
+    marks = marks.groupBy(*name).agg(
         F.collect_list(F.when(F.col("spot").isNotNull(), F.struct("spot", "offsets"))).alias("marks"),
-        F.collect_set("digest").alias("copies"),
+        F.max("copy").alias("copy"),
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            columns = (b[c].to_pylist() for c in ("id", "text", "marks", "copies"))
-            for i, text, found, whole_texts in zip(*columns, strict=True):
+            columns = (b[c].to_pylist() for c in ("id", "text", "marks", "copy"))
+            for i, text, found, copy in zip(*columns, strict=True):
                 data = buffer(text)
-                if whole_texts and hashlib.sha256(data.tobytes()).hexdigest() in whole_texts:
+                if copy:
                     gone = np.ones(len(data), bool)
                 else:
-                    mark = mark_of(text) if found else 0
-                    mine = [m for m in found or () if m["spot"] >> PLACE_BITS == mark]
-                    place = [m["spot"] & ((1 << PLACE_BITS) - 1) for m in mine]
-                    gone = removed(data, place, [m["offsets"] for m in mine], length)
+                    found = found or []
+                    gone = removed(data, [m["spot"] for m in found], [m["offsets"] for m in found], length)
                 spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
                 doc = None if i == -(2**63) else i
                 out.append((doc, len(data), int(gone.sum()), spans, data[~gone].tobytes()))
@@ -465,5 +508,5 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, list(names))
 
-    joined = rows.join(marks, "id", "left")
+    joined = rows.join(marks, name, "left")
     return joined.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerlift.llm.suffix_dedup import anchors, big_endian_words, multikey_order, remove_repeats
+from ledgerlift.llm.suffix_dedup import anchors, big_endian_words, multikey_order, remove_repeats, settled_here
 
 SCHEMA = "doc_id bigint, text string, id int, spot string, digest int"
 
@@ -66,6 +66,31 @@ def test_rows_it_must_take(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_ids_of_unlike_text_and_many_without_id(spark):
+    rnd = random.Random(12)
+    a, b = ("".join(rnd.choice("abcdef ") for _ in range(80)) for _ in range(2))
+    rows = [(1, a, 1, "", 1), (5, a, 1, "", 1), (5, b, 1, "", 1), (9, b + " and a tail", 1, "", 1), (9, "x" + a, 1, "", 1)]
+    found = texts(13, 120)
+    rows += [(None if i % 3 else rnd.randrange(20, 40), t, 1, "", 1) for i, t in enumerate(found)]
+    rows += [(None, found[0], 1, "", 1)] * 40 + [(30, found[1], 1, "", 1)] * 20
+    rows += [(i, " ".join([str(i), a, b, str(i * i)]), 1, "", 1) for i in range(50, 110)]
+    rnd.shuffle(rows)
+    for most in (1_000_000, 5):
+        got = remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3), 50, most)
+        assert sorted(((*tuple(r)[:4], bytes(r.kept)) for r in got.collect()), key=str) == brute(rows, 50)
+
+
+def test_equal_suffixes_of_a_batch_are_settled_there():
+    rng = np.random.default_rng(3)
+    around = rng.integers(0, 2, (300, 11)).astype(np.uint8)
+    around[:, :8] = 7
+    own, ids = rng.integers(1, 3, 300), rng.integers(-5, 5, 300)
+    done = settled_here(ids, own, around)
+    for k in range(300):
+        same = (around == around[k]).all(axis=1) & (own == own[k])
+        assert done[k] == (ids[same].min() < ids[k])
+
+
 def test_every_string_has_an_anchor():
     data = np.frombuffer(" ".join(texts(9, 20)).encode(), np.uint8)
     place, _, least = anchors(data, 50)
