@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import stage, whole_text
@@ -114,6 +114,12 @@ def budgets(totals: DataFrame, mix: Mix) -> tuple[DataFrame, int]:
     return rows.select("source", "total", "docs", "weight", "budget", "passes"), tokens
 
 
+def row_digest(docs: DataFrame) -> Column:
+    """A hash of all columns that Spark can hash (not of maps)."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in docs.schema.fields]
+    return F.xxhash64(*[F.col(f"`{n}`") for n, k in kinds if "map<" not in k and "variant" not in k])
+
+
 def mix_sources(docs: DataFrame, mix: Mix = Mix(), per_bucket: int = 1024) -> DataFrame:
     """The mixed corpus: the rows of ``docs`` as often as their source's budget takes them.
 
@@ -126,15 +132,19 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), per_bucket: int = 1024) -> Da
     ``per_bucket`` documents, and only the buckets' totals are summed along the source.
 
     A null or empty text has no tokens: such documents follow their source, and a source without any token
-    occurs once. A null source is a source of its own; repeated rows each count; a null doc_id orders like
-    an id of its own; an empty table gives an empty one; clashing names are safe inside ``row``.
+    occurs once. A null source is a source of its own. Rows of one doc_id come in order of a digest of the
+    whole row, rows without doc_id by that digest alone, so the order of the input does not matter; repeated
+    rows each count, and follow each other. Very long texts count with all their words; an empty table gives
+    an empty one; clashing names are safe inside ``row``.
     """
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("source").cast("string").alias("source"),
         word_count(whole_text()).alias("tokens"),
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"),
+        row_digest(docs).alias("digest"),
     )
+    # Rows without doc_id are told apart by what they hold.
+    rows = rows.withColumn("key", F.coalesce(F.col("row.doc_id").cast("string"), F.concat(F.lit(":"), F.col("digest").cast("string"))))
     per_source, tokens = budgets(source_totals(rows.select("source", "tokens")), mix)
     per_source = stage(per_source.withColumnRenamed("source", "name"), "budgets")
     blocks = max(1, -(-tokens // mix.block_tokens))
@@ -159,7 +169,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), per_bucket: int = 1024) -> Da
     joined = passes.join(
         before, F.col("source").eqNullSafe(F.col("s")) & (F.col("epoch") == F.col("e")) & (F.col("bucket") == F.col("b"))
     )
-    within = Window.partitionBy("source", "epoch", "bucket").orderBy("hash", "key")
+    within = Window.partitionBy("source", "epoch", "bucket").orderBy("hash", "key", "digest")
     within = within.rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("total") * F.col("epoch") + F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0))
     taken = F.col("start") < F.col("budget")
@@ -169,9 +179,9 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), per_bucket: int = 1024) -> Da
     placed = (
         joined.withColumn("start", start)
         .where(taken)
-        .select("row", "source", "tokens", "epoch", "hash", "key", block.cast("bigint").alias("block"))
+        .select("row", "source", "tokens", "epoch", "hash", "key", "digest", block.cast("bigint").alias("block"))
     )
-    in_block = Window.partitionBy("block").orderBy("hash", "key", "source")
+    in_block = Window.partitionBy("block").orderBy("hash", "key", "source", "digest")
     return placed.select(
         "row", "source", "tokens", "epoch", "block", (F.row_number().over(in_block) - 1).cast("bigint").alias("place")
     )
