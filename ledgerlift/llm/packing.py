@@ -13,6 +13,7 @@ from ledgerlift.llm.common import whole_text
 
 PACKED = "doc_id bigint, piece int, first_token bigint, n_tokens bigint, pack_id bigint, place bigint"
 BIN_BITS = 32
+COPIES_AT_ONCE = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -88,23 +89,36 @@ def best_fit(items: list[tuple], capacity: int, per_source: int) -> list[tuple]:
     return out
 
 
+def with_copies(rows: DataFrame) -> DataFrame:
+    """The rows, those that are alike numbered from 0 in ``copy``; counted before they move, so none gathers them."""
+    counted = rows.groupBy(*rows.columns).agg((F.count(F.lit(1)) - 1).alias("_last"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.floor(F.col("_last") / COPIES_AT_ONCE))))
+    first = F.col("_run") * COPIES_AT_ONCE
+    out = runs.withColumn("copy", F.explode(F.sequence(first, F.least("_last", first + COPIES_AT_ONCE - 1))))
+    return out.drop("_last", "_run")
+
+
 def pack(
-    docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_docs: int = 2048, cluster: str | None = None
-) -> DataFrame:
+    docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_docs: int = 2048, cluster: str | None = None,
+    clusters: DataFrame | None = None,
+) -> DataFrame:
     """Pack documents into bins of ``capacity`` tokens: one row per piece of a document.
 
     ``pack_id`` names the bin, ``place`` the piece's first token in it, ``first_token`` that in the
-    document. No bin holds two pieces of one duplicate cluster (``cluster`` names its column; without it
-    equal texts are a cluster) nor more than ``per_source`` pieces of one source. A document longer than
-    a bin is cut into full pieces, each a bin of its own, and a rest that is packed like any other.
+    document. No bin holds two pieces of one duplicate cluster nor more than ``per_source`` pieces of one
+    source. ``cluster`` names the clusters' column, or ``clusters`` is a table of doc_id, text_hash and
+    component_id as ``parity_join.with_components`` makes it; documents without either are in one cluster
+    if their texts are equal. A document longer than a bin is cut into full pieces, each a bin of its own,
+    and a rest that is packed like any other.
 
-    Documents are dealt to shards of about ``shard_docs`` by a hash of their row, whatever their source or
-    cluster, so no shard grows with a hot one; each shard is packed by itself, without its texts. Copies
-    in different shards are in different bins anyway.
+    Documents are dealt to shards of about ``shard_docs`` by a hash of their row and, of rows that are alike,
+    their number, whatever their source or cluster, so no shard grows with a hot one; each shard is packed by
+    itself, without its texts. Copies in different shards are in different bins anyway.
 
     A null or empty text has no tokens and takes a place without room; a null source is a source of its
-    own; a null doc_id stays null; repeated rows are copies of each other; an empty table packs to an
-    empty one; columns that are not used may have any name.
+    own; a null doc_id stays null; repeated rows are copies of each other; items of equal size follow each
+    other by cluster, source and doc_id, so the result does not depend on the order of the input; an empty
+    table packs to an empty one; columns that are not used may have any name.
     """
     if capacity < 1 or per_source < 1:
         raise ValueError("capacity and per_source must be at least 1")
@@ -114,8 +128,21 @@ def pack(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(text).alias("tokens"),
-        (F.col(cluster).cast("string") if cluster else F.xxhash64(text).cast("string")).alias("cluster"),
-        F.pmod(F.xxhash64(F.col("doc_id"), text), F.lit(shards)).alias("shard"),
+        (F.col(cluster).cast("string") if cluster else F.lit(None).cast("string")).alias("cluster"),
+        F.xxhash64(text).alias("text_hash"),
+    )
+    rows = with_copies(rows)
+    if clusters is not None:
+        found = clusters.where("component_id is not null").groupBy(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+        found = found.agg(F.min("component_id").alias("component_id"))
+        rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
+        rows = rows.withColumn("cluster", F.concat(F.lit("c"), F.col("component_id").cast("string")))
+    rows = rows.select(
+        "doc_id",
+        "source",
+        "tokens",
+        F.coalesce("cluster", F.concat(F.lit("t"), F.col("text_hash").cast("string"))).alias("cluster"),
+        F.pmod(F.xxhash64("doc_id", "text_hash", "copy"), F.lit(shards)).alias("shard"),
     )
 
     def one_shard(table: pa.Table) -> pa.Table:

@@ -5,7 +5,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from ledgerlift.llm.packing import best_fit, pack
+from ledgerlift.llm.packing import best_fit, pack, with_copies
+from ledgerlift.llm.parity_join import with_components
 
 SCHEMA = "doc_id bigint, text string, source string, shard int, cluster string"
 
@@ -72,3 +73,27 @@ def test_named_clusters_and_empty(spark):
 def test_many_copies_do_not_take_quadratic_time():
     items = [(10, "same", "a", i, 0, 0) for i in range(20000)]
     assert len({p[-2] for p in best_fit(items, 100, 4)}) == 20000
+
+
+def test_rows_that_are_alike_are_spread(spark):
+    rows = [(1, "the same text", "a", 1, "x")] * 3000 + [(None, None, None, None, None)] * 2000 + [(i, f"w{i} " * (i % 50), "b", 1, "x") for i in range(5000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = pack(df, shard_docs=100).collect()
+    assert len(got) == len(rows) and sum(r.n_tokens for r in got) == sum(len((r[1] or "").split()) for r in rows)
+    shards = Counter(r.pack_id >> 32 for r in got)
+    assert max(shards.values()) < 3 * sorted(shards.values())[len(shards) // 2]
+    again = pack(df.repartition(2), shard_docs=100).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    numbered = with_copies(df.select("doc_id", "text"))
+    assert sorted(r.copy for r in numbered.where("doc_id is null").collect()) == list(range(2000))
+
+
+def test_near_copies_are_kept_apart(spark):
+    rnd = random.Random(2)
+    base = [f"w{rnd.randrange(500)}" for _ in range(120)]
+    rows = [(i, " ".join([*base[:i], "changed", *base[i + 1 :]]), f"s{i}", 1, "x") for i in range(6)]
+    rows += [(100 + i, f"short {i}", "t", 1, "x") for i in range(4)] + [(None, rows[0][1], "n", 1, "x")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = pack(df, clusters=with_components(df, 5, 80)).collect()
+    bins = {r.pack_id for r in got if r.doc_id is None or r.doc_id < 100}
+    assert len(bins) == 7 and len(got) == len(rows)
