@@ -15,11 +15,11 @@ from ledgerlift.llm.filter_audit import audit
 from ledgerlift.llm.line_dedup import remove_boilerplate
 from ledgerlift.llm.mixing import Mix, mix_sources
 from ledgerlift.llm.packing import pack
-from ledgerlift.llm.parity_join import near_duplicates
+from ledgerlift.llm.parity_join import near_duplicates, with_components
 from ledgerlift.llm.pieces import round_trip
 from ledgerlift.llm.pii import pii_digest
 from ledgerlift.llm.prefix_trie import prefix_trie
-from ledgerlift.llm.simhash import edited_fingerprints
+from ledgerlift.llm.simhash import edited_fingerprints, with_neighbours
 from ledgerlift.llm.suffix_dedup import remove_repeats
 from ledgerlift.llm.topk import top_k
 from ledgerlift.llm.warc import warc_round_trip
@@ -44,7 +44,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    return with_neighbours(edited_fingerprints(table(spark, sf_dir, "documents")))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,8 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return pack(docs, clusters=with_components(docs, words=5, percent=80))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
