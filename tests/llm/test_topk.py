@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerlift.llm.topk import Approximation, exact_scores, search_block, top_k
+from ledgerlift.llm.topk import Grid, candidates_of, exact_scores, scan, top_k
 
 SCHEMA = "vec_id bigint, embedding array<double>, label int, score string"
 
@@ -39,19 +39,33 @@ def test_few_and_none(spark):
     assert [tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA)).orderBy("rank").collect()] == [(0, 1, 7, -65536), (0, 2, 7, -65536)]
 
 
+def test_a_third_alike_and_one_row_many_times(spark):
+    rnd = random.Random(4)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(6)], 1, "x") for i in range(200)]
+    rows += [(1000 + i, [2.0] * 6, 1, "x") for i in range(150)] + [(30, [2.0] * 6, 1, "x")] * 40
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted({tuple(r) for r in top_k(df, k=5, every=10, block_vectors=50).collect()})
+    assert got == sorted(set(brute(rows, 5, 10)))
+    held = candidates_of(df.selectExpr("xxhash64(embedding) AS name", "vec_id AS id", "embedding AS v"), 5)
+    assert held.count() <= 200 + 5 + 6
+
+
 def test_large_numbers_are_exact():
     v = np.array([[2.0**52, 3.0], [2.0**52, 4.0]])
-    assert list(exact_scores(v, np.array([2.0**52, 1.0]))) == [2**104 + 3, 2**104 + 4]
+    assert exact_scores(v, np.array([[2.0**52, 1.0]] * 2)) == [2**104 + 3, 2**104 + 4]
 
 
-def test_bounds_hold_and_spare_reads(monkeypatch):
+def test_bounds_hold_and_spare_reads():
     rng = np.random.default_rng(0)
     vectors, queries = np.floor(256 * rng.normal(size=(4000, 32))), np.floor(256 * rng.normal(size=(5, 32)))
-    middle, slack = Approximation(vectors).bounds(queries)
+    grid = Grid(vectors.min(axis=0), vectors.max(axis=0))
+    cells = grid.cells(vectors)
+    middle, slack = grid.bounds(cells, queries)
     assert (np.abs(middle - queries @ vectors.T) <= slack[:, None]).all()
-    read = []
-    import ledgerlift.llm.topk as m
-
-    monkeypatch.setattr(m, "exact_scores", lambda v, q: read.append(len(v)) or exact_scores(v, q))
-    search_block(np.arange(4000), vectors, np.full(5, -1), queries, 5)
-    assert sum(read) < 5 * 400
+    alone = np.ma.array(np.arange(4000), mask=False)
+    left = {row: rows for row, rows, _, _ in scan(cells, alone, np.arange(5), queries, grid, 5)}
+    for row, rows in left.items():
+        scores = queries[row] @ vectors.T
+        scores[row] = -np.inf
+        assert set(np.argsort(-scores)[:5]) <= set(rows.tolist()) and row not in rows
+    assert sum(map(len, left.values())) < 5 * 100
