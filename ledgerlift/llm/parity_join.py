@@ -184,7 +184,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def packed_keys(keys: np.ndarray, place: np.ndarray, names: np.ndarray, parts: int) -> dict[str, list]:
     """Keys of blocks, and the places of their sets in ``names``, as one row of packed numbers per part."""
-    part = (keys % np.uint64(parts)).astype(np.int64)
+    part = (keys % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
     order = np.argsort(part, kind="stable")
     token = (keys[order] >> np.uint64(64 - KEY_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
     place, part = place[order], part[order]
@@ -288,11 +288,16 @@ def shared_blocks(packs: DataFrame) -> DataFrame:
 
     def shared(held: list[dict]) -> pa.RecordBatch:
         token, item = unpacked_keys(held)
+        order = np.argsort(token)
+        token = token[order]
+        same = token[1:] == token[:-1]
+        several = np.r_[False, same] | np.r_[same, False]
+        token, item = token[several], item[order[several]]
         order = np.lexsort((item, token))
         token, item = token[order], item[order]
-        new = np.r_[True, (token[1:] != token[:-1]) | (item[1:] != item[:-1])]
+        new = np.r_[True, (token[1:] != token[:-1]) | (item[1:] != item[:-1])][: len(token)]
         token, item = token[new], item[new]
-        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
         size = np.diff(np.r_[starts, len(token)])
         out = np.repeat(size > 1, size)
         return pa.RecordBatch.from_pydict({"block": token[out] | held[0]["part"] << KEY_BITS, "set": item[out]})

@@ -203,7 +203,7 @@ def packed_anchors(hashes: np.ndarray, docs: np.ndarray, names: np.ndarray, part
     documents, so one that a third of all documents hold is one entry per batch. Tokens are the upper
     bits of the hash; two anchors of one token only cost a needless comparison.
     """
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes)
     hashes, docs = hashes[order], docs[order]
     ids = names[docs, 0]
     starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
@@ -246,7 +246,7 @@ def shared_tokens(rows: list[dict]) -> pa.RecordBatch:
         several.append(np.unpackbits(np.frombuffer(r["several"], np.uint8), count=len(token[-1])).astype(bool))
         known.append((names[np.frombuffer(r["told_docs"], kind)], from_five_bytes(r["told_tokens"])))
     token, doc, several = (np.concatenate(x) for x in (token, doc, several))
-    order = np.argsort(token, kind="stable")
+    order = np.argsort(token)
     token, doc, several = token[order], doc[order], several[order]
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     ids = doc[:, 0]
