@@ -36,12 +36,23 @@ def days_before(ts: Column, days: int) -> Column:
 
 
 def units(c: Column, scale: int) -> Column:
-    """A finite amount as a whole number of 10**-scale units.
+    """A finite amount as a whole number of 10**-scale units; one beyond the bigint range raises in any mode.
 
     Whole numbers add up to the same total in any order, so retried or re-partitioned sums agree to
-    the last digit. A total beyond the bigint range raises.
+    the last digit.
     """
-    return F.round(c.cast("double") * F.lit(float(10**scale))).cast("bigint")
+    whole = F.round(c.cast("double") * F.lit(float(10**scale)))
+    return F.when(F.abs(whole) < F.lit(2.0**63), whole.cast("bigint")).when(whole.isNotNull(), _too_large())
+
+
+def _too_large() -> Column:
+    return F.raise_error(F.lit("an amount or total is beyond the range of whole units")).cast("bigint")
+
+
+def checked_sum(value: Column) -> Column:
+    """The sum of whole numbers, 0 over none. A total beyond the bigint range raises, whether ANSI mode is on or not."""
+    total = F.try_sum(F.coalesce(value, F.lit(0).cast("bigint")))
+    return F.when(total.isNotNull(), total).when(F.count(F.lit(1)) == 0, F.lit(0).cast("bigint")).otherwise(_too_large())
 
 
 def from_units(total: Column, scale: int) -> Column:
@@ -52,5 +63,4 @@ def from_units(total: Column, scale: int) -> Column:
 def exact_sum(c: Column, where: Column | None = None, scale: int = 4) -> Column:
     """Order-independent sum of a money column, 0 over no rows."""
     value = units(c, scale)
-    total = F.sum(value if where is None else F.when(where, value))
-    return from_units(F.coalesce(total, F.lit(0)), scale)
+    return from_units(checked_sum(value if where is None else F.when(where, value)), scale)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.arithmetic import days_before, from_units, guarded_ratio, units, whole_days
+from ledgerlift.functions.arithmetic import checked_sum, days_before, from_units, guarded_ratio, units, whole_days
 from ledgerlift.operators.flow import FLOW_COLUMNS, with_flow_ratios
 from ledgerlift.operators.spending import INCOME, INFLOW_CATEGORIES, TRANSFER_IN
 from ledgerlift.sources.tables import require_same_type
@@ -126,7 +126,7 @@ def _by_value(joined: DataFrame, lookbacks, money: bool, scale: int = 4) -> Data
         F.count_if("past").alias("cnt"),
         F.min("past_date").alias("first_date"),
         F.max("past_date").alias("last_date"),
-        *[F.sum(name).alias(name) for name in totals],
+        *[(checked_sum(F.col(name)) if name.endswith("_units") else F.sum(name)).alias(name) for name in totals],
     )
 
 
@@ -161,7 +161,7 @@ def _per_anchor(by_value: DataFrame, lookbacks, over: str, names: list[str] | No
 
         def money(c: str, where: Column) -> Column:
             where = (F.col("kind") == CATEGORY) & where
-            return from_units(F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0)), scale)
+            return from_units(checked_sum(F.when(where, F.col(c))), scale)
 
         columns += [money("out_units", value == name).alias(f"spent:{name}") for name in names]
         columns += [

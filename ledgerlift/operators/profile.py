@@ -99,26 +99,47 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
     return _named(out.select("i", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values")), names)
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES, accuracy: int = 2000) -> DataFrame:
     """Quantiles with linear interpolation: columns ``column_name, q0, q1, ...``.
 
-    Values are counted, then ordered once for all columns together; a quantile is the first value
-    whose running count reaches its place. No task ever holds a whole column.
+    Mergeable sketches bracket the place of each quantile to within a share of 2 / ``accuracy`` of the rows; a second
+    scan counts what lies below each bracket and keeps only the values inside. These are counted and
+    ordered, so what is exchanged is a small share of the values, however many are distinct.
     """
-    values = _stacked(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = values.groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = ordered_totals(counted, [F.col("i").asc(), F.col("value").asc()], {"cum": "n"}, rank="_rank")
-    extents = running.groupBy("i").agg(F.sum("n").alias("total"), F.min(F.col("cum") - F.col("n")).alias("start"))
-    placed = running.join(F.broadcast(extents), "i")  # one row per column
-    aggregates = []
-    for k, p in enumerate(probs):
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        reached = F.col("cum") - F.col("start")
-        low = F.min(F.when(reached >= F.floor(place) + 1, F.col("value")))
-        high = F.min(F.when(reached >= F.ceil(place) + 1, F.col("value")))
-        part = F.first(place - F.floor(place))
-        aggregates.append((low + (high - low) * part).alias(f"q{k}"))
-    return _named(placed.groupBy("i").agg(*aggregates), columns)
+    value = [F.when(~_missing(df, c), _c(c).cast("double")) for c in columns]
+    value = [F.when(~F.isnan(v), v) for v in value]
+    edges = [e for p in probs for e in (max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy))]
+    sketched = df.agg(
+        *[F.percentile_approx(v, edges, accuracy).alias(f"e{i}") for i, v in enumerate(value)],
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(value)],
+    ).first()
+    # One bracket per column and quantile.
+    wanted = []
+    for i in range(len(columns)):
+        for k, p in enumerate(probs):
+            if sketched[f"n{i}"]:
+                wanted.append((i, k, *sketched[f"e{i}"][2 * k : 2 * k + 2], p * (sketched[f"n{i}"] - 1)))
+    spark = df.sparkSession
+    if not wanted:
+        return _named(spark.createDataFrame([], "i int, " + ", ".join(f"q{k} double" for k in range(len(probs)))), columns)
+    below = df.agg(*[F.count_if(value[i] < F.lit(low)).alias(f"b{i}_{k}") for i, k, low, _, _ in wanted]).first()
+    inside = [F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), value[i].alias("value"), value[i].between(F.lit(low), F.lit(high)).alias("in")) for i, k, low, high, _ in wanted]
+    held = df.select(F.inline(F.filter(F.array(*inside), lambda x: x["in"]))).drop("in")
+    counted = held.groupBy("i", "k", "value").agg(F.count(F.lit(1)).alias("n"))
+    running = ordered_totals(counted, [F.col("i").asc(), F.col("k").asc(), F.col("value").asc()], {"cum": "n"}, rank="_rank")
+    places = [(i, k, float(place), int(below[f"b{i}_{k}"])) for i, k, _, _, place in wanted]
+    places = F.broadcast(spark.createDataFrame(places, "i int, k int, place double, below bigint"))
+    starts = running.groupBy("i", "k").agg(F.min(F.col("cum") - F.col("n")).alias("start"))
+    placed = running.join(F.broadcast(starts), ["i", "k"]).join(places, ["i", "k"])  # one row per column and quantile
+    reached = F.col("below") + F.col("cum") - F.col("start")
+    found = placed.groupBy("i", "k").agg(
+        F.min(F.when(reached >= F.floor("place") + 1, F.col("value"))).alias("low"),
+        F.min(F.when(reached >= F.ceil("place") + 1, F.col("value"))).alias("high"),
+        F.first(F.col("place") - F.floor("place")).alias("part"),
+    )
+    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    wide = found.groupBy("i").agg(*[F.max(F.when(F.col("k") == k, quantile)).alias(f"q{k}") for k in range(len(probs))])
+    return _named(wide, columns)
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -3,6 +3,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerlift.operators import cohort, diversity, flow, spending, supervised
 from ledgerlift.plans import features
 
@@ -218,3 +220,25 @@ def test_overlap_counts_distinct_keys(spark):
     b = spark.createDataFrame([("1",), ("3",), (None,), ("2",)], "j string")
     assert cohort.key_overlap(a, "k", b, "j").first().shared_keys == 2
     assert cohort.keep_known_users(a, a.where("k = 1"), "k").count() == 2
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_are_right_or_an_error(spark, ansi):
+    from ledgerlift.functions.arithmetic import exact_sum
+
+    was = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+
+        def total(amounts):
+            df = spark.createDataFrame([(1, a) for a in amounts], "k int, a double").repartition(3)
+            return df.groupBy("k").agg(exact_sum(F.col("a")).alias("t"), exact_sum(F.col("a"), F.col("a") > 0).alias("p")).first()
+
+        assert tuple(total([4e14, 5e14, -8e14, 0.0001])) == (1, 1e14 + 0.0001, 9e14 + 0.0001)
+        assert tuple(total([None, None])) == (1, 0.0, 0.0)
+        for amounts in ([1e15], [-1e300], [5e14, 5e14]):
+            with pytest.raises(Exception, match="beyond the range"):
+                total(amounts)
+        assert spark.createDataFrame([], "a double").agg(exact_sum(F.col("a"))).first()[0] == 0.0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", was)
