@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import delete, shuffle_width, stage, staging_path, whole_text
+from ledgerlift.llm.common import delete, pressed, shuffle_width, stage, staging_path, unpressed, whole_text
 from ledgerlift.llm.components import components
 
 REMEMBERED = 1 << 16
@@ -321,15 +321,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
 
-    def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Texts move compressed: the exchange takes half the room.
-        for b in batches:
-            texts = b["text"].cast(pa.binary()).to_pylist()
-            packed = pa.array([pa.compress(t, "zstd", asbytes=True) for t in texts], pa.binary())
-            size = pa.array(map(len, texts), pa.int64(), size=len(texts))
-            yield pa.RecordBatch.from_arrays([b["id"], b["hash"], size, packed], ["id", "hash", "size", "text"])
-
-    moved = rows.mapInArrow(pressed, "id bigint, hash bigint, size bigint, text binary")
+    moved = pressed(rows)
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
     rows = moved.join(wanted, same).select("set", "size", "text")
 
@@ -341,7 +333,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 # Rows without doc_id, or that repeat theirs, may be many copies of one text.
                 if name in told:
                     continue
-                s = shingles.of_bytes(pa.decompress(text, size, "zstd", asbytes=True))
+                s = shingles.of_bytes(unpressed(text, size))
                 # Other texts may have the same hash.
                 if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), signed=True) == name:
                     if len(told) >= REMEMBERED:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import shuffle_width, stage, whole_text
+from ledgerlift.llm.common import pressed, shuffle_width, stage, unpressed, whole_text
 
 GRAM = 16
 #: Documents that the splitters are drawn from, and suffixes of each. They decide the balance, not the result.
@@ -171,8 +171,8 @@ def removed(data: np.ndarray, spots: list[int], offsets: list[int], length: int)
     return np.cumsum(edge)[:-1] > 0
 
 
-def buffer(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def buffer(text: str | bytes) -> np.ndarray:
+    return np.frombuffer(text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def fixed_rows(column: pa.Array, size: int) -> np.ndarray:
@@ -199,9 +199,9 @@ def packed_anchors(hashes: np.ndarray, docs: np.ndarray, names: np.ndarray, part
 
     ``docs`` are the documents' places in ``names``, rows of doc_id and hash of the text. A part gets every
     anchor once: its token, a document that has it, and whether another doc_id of the batch has it too.
-    Anchors that doc_ids of the batch share among themselves are told apart, as ``told`` tokens and
-    documents, so one that a third of all documents hold is one entry per batch. Tokens are the upper
-    bits of the hash; two anchors of one token only cost a needless comparison.
+    All documents of anchors that several in the batch have are told apart, as ``told`` tokens and documents,
+    so one that a third of all documents hold is one entry per batch to sort. Tokens are the upper bits of
+    the hash; two anchors of one token only cost a needless comparison.
     """
     order = np.argsort(hashes)
     hashes, docs = hashes[order], docs[order]
@@ -212,7 +212,8 @@ def packed_anchors(hashes: np.ndarray, docs: np.ndarray, names: np.ndarray, part
         several = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
     else:
         several = np.zeros(0, bool)
-    told = np.repeat(several, size)
+    # Documents of one doc_id may differ in their texts, so all documents of an anchor are told.
+    told = np.repeat(size > 1, size)
     out: dict[str, list] = {name: [] for name in PACKED}
     part, told_part = (hashes[starts] % U(parts)).astype(np.int64), (hashes[told] % U(parts)).astype(np.int64)
     by_part, by_told = np.argsort(part, kind="stable"), np.argsort(told_part, kind="stable")
@@ -252,8 +253,15 @@ def shared_tokens(rows: list[dict]) -> pa.RecordBatch:
     ids = doc[:, 0]
     shared = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
     shared |= np.logical_or.reduceat(several, starts)
-    out = np.repeat(shared, np.diff(np.r_[starts, len(token)])) & ~several
-    names, tokens = (np.concatenate([a, *b]) for a, b in ((doc[out], [k[0] for k in known]), (token[out], [k[1] for k in known])))
+    out = np.repeat(shared, np.diff(np.r_[starts, len(token)]))
+    held = token[starts][shared]
+    names, tokens = [doc[out]], [token[out]]
+    for docs, own in known:
+        at = np.minimum(np.searchsorted(held, own), max(0, len(held) - 1))
+        wanted = held[at] == own if len(held) else np.zeros(len(own), bool)
+        names.append(docs[wanted])
+        tokens.append(own[wanted])
+    names, tokens = np.concatenate(names), np.concatenate(tokens)
     return pa.RecordBatch.from_pydict({"id": names[:, 0], "hash": names[:, 1], "token": tokens})
 
 
@@ -305,7 +313,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     count, strings are judged on the whole input texts, and never cross documents.
 
     A whole text that a smaller doc_id has too is settled first, so copies cost nothing further. Texts are
-    shuffled once. A suffix that a smaller doc_id of its batch has, with all that its strings span, is settled
+    shuffled twice, compressed. A suffix that a smaller doc_id of its batch has, with all that its strings span, is settled
     before the exchange. Different suffixes of an anchor that more than ``most`` have are not gathered in a
     task: their strings are compared by a join on 128-bit digests, which the adaptive join splits where hot.
 
@@ -333,9 +341,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     def own_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found, seen = [], None
-            for i, h, text in zip(*(b[c].to_pylist() for c in ("id", "hash", "text")), strict=True):
+            for i, h, size, text in zip(*(b[c].to_pylist() for c in ("id", "hash", "size", "text")), strict=True):
                 # Rows come in order of their names: of repeated ones one will do.
-                place, hashes, _ = anchors(buffer(text if seen != (i, h) else ""), length)
+                place, hashes, _ = anchors(buffer(unpressed(text, size) if seen != (i, h) else b""), length)
                 found.append(np.unique(hashes[place]))
                 seen = (i, h)
             if found:
@@ -357,12 +365,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts, seen = [], None
-            columns = (b["id"].to_pylist(), b["hash"].to_pylist(), b["text"].to_pylist(), b["shared"])
-            for i, h, text, wanted in zip(*columns, strict=True):
+            columns = (*(b[c].to_pylist() for c in ("id", "hash", "size", "text")), b["shared"])
+            for i, h, size, text, wanted in zip(*columns, strict=True):
                 if seen == (i, h):
                     continue
                 seen = (i, h)
-                data = buffer(text)
+                data = buffer(unpressed(text, size))
                 place, hashes, least = anchors(data, length)
                 token = (hashes[place] >> U(64 - TOKEN_BITS)).astype(np.int64)
                 place = place[np.isin(token, wanted.values.to_numpy())]
@@ -459,14 +467,15 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
         if held:
             yield settle(held)
 
-    # The same exchange of the texts serves all three joins.
+    # The same exchange of the texts, compressed, serves the first two joins.
     name = ["id", "hash"]
-    originals = rows.join(copies, name, "left_anti").select("id", "hash", "text")
+    rows = pressed(rows)
+    originals = rows.join(copies, name, "left_anti").select("id", "hash", "size", "text")
     blobs = originals.mapInArrow(own_anchors, ", ".join(f"{n} {'int' if n == 'part' else 'binary'}" for n in PACKED))
     shared = blobs.repartition(width, "part").sortWithinPartitions("part")
     shared = shared.mapInArrow(shared_anchors, "id bigint, hash bigint, token bigint")
     wanted = shared.groupBy(*name).agg(F.collect_list("token").alias("shared"))
-    placed = rows.join(wanted, name).select("id", "hash", "text", "shared").mapInArrow(
+    placed = rows.join(wanted, name).select("id", "hash", "size", "text", "shared").mapInArrow(
         suffixes, "part int, id bigint, hash bigint, spot bigint, own bigint, around binary"
     )
     gram = F.substring("around", span, GRAM)
@@ -491,9 +500,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            columns = (b[c].to_pylist() for c in ("id", "text", "marks", "copy"))
-            for i, text, found, copy in zip(*columns, strict=True):
-                data = buffer(text)
+            columns = (b[c].to_pylist() for c in ("id", "size", "text", "marks", "copy"))
+            for i, size, text, found, copy in zip(*columns, strict=True):
+                data = buffer(unpressed(text, size))
                 if copy:
                     gone = np.ones(len(data), bool)
                 else:
