@@ -390,16 +390,11 @@ def fill_with_max(v: Views):
     ),
 )
 def attach_feature_blocks(v: Views):
-    tx, fa = v.tx(), v.fa()
-    past = diversity.before_anchor(tx, fa)
-    blocks = [
-        diversity.merchant_concentration(past),
-        diversity.recurring_merchants(past).select("user_id", "recurring_merchants_count"),
-    ]
-    for n in (30, 90):
-        window = diversity.before_anchor(tx, fa, n)
-        blocks.append(diversity.per_user(window, F.count("id").alias(f"count_{n}d")))
-    return supervised.assemble(fa.select("user_id"), blocks)
+    """Both blocks and both windows come from one pass over the transactions, so one join attaches them all."""
+    features = diversity.diversity_features(v.tx(), v.fa(), (30, 90))
+    windows = [F.col(f"transaction_count_{n}d").alias(f"count_{n}d") for n in (30, 90)]
+    block = features.select("user_id", "merchant_concentration", "recurring_merchants_count", *windows)
+    return supervised.assemble(v.fa().select("user_id"), [block])
 
 
 # --- the supervised table -------------------------------------------------------------------
@@ -451,3 +446,30 @@ def supervised_table(v: Views):
              FROM orders GROUP BY o_custkey) ON k = o_custkey AND l_shipdate < t"""))
 def supervised_as_of(v: Views):
     return features.supervised_table(v.adv(), v.adv_labels(), v.tx(), as_of=True)
+
+
+def _exploratory_sql() -> str:
+    """The supervised table with the exploratory features in place of the standard ones."""
+    sql = _supervised_sql()
+    standard = ", ".join(f"d.{c}" for c in diversity.diversity_columns())
+    names = [c for c in diversity.diversity_columns() if c != "time_span_days"] + ["recurring_merchant_pct"]
+    assert standard in sql
+    sql = sql.replace(standard, ", ".join(f"d.{c}" for c in names))
+    history = f"SELECT user_id, {_diversity_select((30, 60, 90))}\n                       FROM ({_history_sql('tx_before', 'fa', (30, 60, 90))})"
+    assert history in sql
+    same = [c for c in diversity.diversity_columns() if c not in _RENAMED]
+    columns = [f"coalesce({c}, 0) AS {c}" for c in same]
+    columns += [f"coalesce({source}, 0) AS {name}" for name, source in _RENAMED.items() if source != "days_since"]
+    columns += [
+        "coalesce(days_since, (SELECT max(days_since) FROM x), 0) AS days_since_last_transaction",
+        "coalesce(CAST(recurring AS DOUBLE) / CASE WHEN unique_merchants_all_time = 0 THEN 1 "
+        "ELSE unique_merchants_all_time END, 0) AS recurring_merchant_pct",
+    ]
+    labelled = "(SELECT DISTINCT user_id FROM fa JOIN adv_labels ON request_id = advance_id)"
+    known = f"WITH x AS (SELECT * FROM ({_history_sql('tx_before', 'fa', (30, 60, 90), over='merchants')}) WHERE user_id IN {labelled})"
+    return sql.replace(history, f"{known} SELECT user_id, {', '.join(columns)} FROM x")
+
+
+@query("supervised_exploratory", _exploratory_sql())
+def supervised_exploratory(v: Views):
+    return features.supervised_table(v.adv(), v.adv_labels(), v.tx(), variant="exploratory")

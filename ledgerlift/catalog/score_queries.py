@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlift.catalog.registry import query
+from ledgerlift.catalog.registry import SQL, query
 from ledgerlift.catalog.views import Views, with_views
 from ledgerlift.operators import evaluate, importance, rank, scale, split
 
@@ -268,3 +268,12 @@ def meta_weighted_importance(v: Views):
     weights = counts.select("model", (F.col("n").cast("double") / total - F.lit(0.2)).alias("weight"))
     combined = importance.meta_weighted(importances, weights, skip=("error",))
     return combined.withColumn("importance", F.round("importance", 6))
+
+
+@query(
+    "top_features",
+    f"""SELECT feature, importance FROM ({SQL["meta_weighted_importance"]}) ORDER BY importance DESC, feature LIMIT 20""",
+)
+def top_features(v: Views):
+    """The 20 event properties of greatest weighted importance."""
+    return importance.top_features(meta_weighted_importance(v), 20)

@@ -210,6 +210,16 @@ def fill_with_max(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), most, zero))
 
 
+def _of_variant(features: DataFrame, lookbacks, variant: str) -> tuple[DataFrame, list[str]]:
+    """The features of a variant, and their names in order."""
+    columns = diversity_columns(lookbacks)
+    if variant == "exploratory":
+        share = guarded_ratio(F.col("recurring_merchants_count"), F.col("unique_merchants_all_time"))
+        features = features.withColumn("recurring_merchant_pct", share)
+        columns = [c for c in columns if c != "time_span_days"] + ["recurring_merchant_pct"]
+    return features, columns
+
+
 def diversity_features(
     tx: DataFrame, anchors: DataFrame, lookbacks=LOOKBACKS, variant: str = "standard"
 ) -> DataFrame:
@@ -224,12 +234,7 @@ def diversity_features(
     over = "transactions" if variant == "standard" else "merchants"
     by_value = _by_value(before_anchor(tx, anchors), lookbacks, money=False)
     per_anchor = _per_anchor(by_value, lookbacks, over, None, 0)
-    features = _with_time_features(per_anchor)
-    columns = diversity_columns(lookbacks)
-    if variant == "exploratory":
-        share = guarded_ratio(F.col("recurring_merchants_count"), F.col("unique_merchants_all_time"))
-        features = features.withColumn("recurring_merchant_pct", share)
-        columns = [c for c in columns if c != "time_span_days"] + ["recurring_merchant_pct"]
+    features, columns = _of_variant(_with_time_features(per_anchor), lookbacks, variant)
     features = features.select(F.col("anchor.user_id").alias("user_id"), *columns)
     out = anchors.select("user_id").join(features, "user_id", "left")
     if variant == "exploratory":
@@ -238,8 +243,9 @@ def diversity_features(
 
 
 def user_features(
-    tx: DataFrame, anchors: DataFrame, names: list[str], lookbacks=LOOKBACKS, as_of: bool = False, scale: int = 4
-) -> DataFrame:
+    tx: DataFrame, anchors: DataFrame, names: list[str], lookbacks=LOOKBACKS, as_of: bool = False, scale: int = 4,
+    variant: str = "standard",
+) -> DataFrame:
     """Spending shares, diversity and flow of the anchored users from one scan of the transactions.
 
     Users without any counted transaction are absent. Money counts all of a user's transactions, or
@@ -247,13 +253,16 @@ def user_features(
     """
     rows = before_anchor(tx, anchors) if as_of else join_anchors(tx, anchors)
     by_value = _by_value(rows, lookbacks, money=True, scale=scale)
-    per_anchor = _per_anchor(by_value, lookbacks, "transactions", names, scale)
-    features = with_flow_ratios(_with_time_features(per_anchor))
+    if variant not in ("standard", "exploratory"):
+        raise ValueError(f"unknown variant {variant}")
+    over = "transactions" if variant == "standard" else "merchants"
+    per_anchor = _per_anchor(by_value, lookbacks, over, names, scale)
+    features, columns = _of_variant(with_flow_ratios(_with_time_features(per_anchor)), lookbacks, variant)
     shares = [guarded_ratio(F.col(f"`spent:{n}`"), F.col("total_outflow")).alias(n) for n in names]
     return features.select(
         F.col("anchor.user_id").alias("user_id"),
         *shares,
         F.col("total_outflow").alias("total_spending"),
-        *diversity_columns(lookbacks),
+        *columns,
         *FLOW_COLUMNS,
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,7 +77,8 @@ def schema_listing(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values per column, null and NaN aside; 0 where there are none.
 
-    Exact counts go through one row per distinct (column, value), so no task holds a whole column;
+    Exact counts go through one row per distinct (column, value), so no task holds a whole column; whole
+    numbers that lie densely go through bitmaps instead, of which a task sends one per run of values.
     ``approximate`` uses sketches and needs no shuffle of values.
     """
     names = columns or df.columns
@@ -83,11 +87,14 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
         return _long(wide, names, {"distinct_values": "d"})
     # Type by type: values compare as what they are, so 0.0 and -0.0 are one value, and NaN is missing.
     # Types without an order of their own in a stack (arrays, structs) are compared as text.
+    dense = {} if approximate else _dense(df, names)
     kinds: dict[str, list[int]] = {}
     for i, name in enumerate(names):
+        if i in dense:
+            continue
         kind = df.schema[name].dataType
         kinds.setdefault(kind.simpleString() if isinstance(kind, T.AtomicType) else "string", []).append(i)
-    counted = []
+    counted = [_bitmap_counts(df, names, dense)] if dense else []
     for kind, places in kinds.items():
         columns = [F.when(~_missing(df, names[i]), _c(names[i])).cast(kind).alias(str(i)) for i in places]
         rows = df.select(*columns).unpivot([], [str(i) for i in places], "i", "value").where("value is not null")
@@ -99,6 +106,35 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
     return _named(out.select("i", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values")), names)
 
 
+#: Values of the range of a column per row up to which its bitmaps are smaller than its values.
+DENSE = 32
+
+
+def _dense(df: DataFrame, names: list[str]) -> dict[int, int]:
+    """Of the columns of whole numbers those whose values lie densely, with their smallest values."""
+    whole = [i for i, n in enumerate(names) if isinstance(df.schema[n].dataType, T.IntegralType)]
+    if not whole:
+        return {}
+    row = df.agg(
+        *[f(_c(names[i])).cast("decimal(20,0)").alias(f"{a}{i}") for i in whole for a, f in (("low", F.min), ("high", F.max))],
+        *[F.count(_c(names[i])).alias(f"n{i}") for i in whole],
+    ).first()
+    out = {}
+    for i in whole:
+        low, high, n = (row[f"{a}{i}"] for a in ("low", "high", "n"))
+        if n and high - low < min(DENSE * n, 2**62) and -(2**62) < low:
+            out[i] = int(low)
+    return out
+
+
+def _bitmap_counts(df: DataFrame, names: list[str], dense: dict[int, int]) -> DataFrame:
+    """Distinct values of dense columns: a bitmap per column and run of values, merged before and after it moves."""
+    entries = [F.struct(F.lit(i).alias("i"), (_c(names[i]).cast("bigint") - F.lit(low) + 1).alias("v")) for i, low in dense.items()]
+    rows = df.select(F.inline(F.array(*entries))).where("v is not null")
+    maps = rows.groupBy("i", F.bitmap_bucket_number("v").alias("run")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("bits"))
+    return maps.groupBy("i").agg(F.sum(F.bitmap_count("bits")).alias("distinct_values"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES, accuracy: int = 2000) -> DataFrame:
     """Quantiles with linear interpolation: columns ``column_name, q0, q1, ...``.
 
@@ -122,19 +158,29 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES, accuracy
     spark = df.sparkSession
     if not wanted:
         return _named(spark.createDataFrame([], "i int, " + ", ".join(f"q{k} double" for k in range(len(probs)))), columns)
-    below = df.agg(*[F.count_if(value[i] < F.lit(low)).alias(f"b{i}_{k}") for i, k, low, _, _ in wanted]).first()
+    below = df.agg(
+        *[F.count_if(value[i] < F.lit(low)).alias(f"b{i}_{k}") for i, k, low, _, _ in wanted],
+        *[F.max(F.when(value[i] < F.lit(low), value[i])).alias(f"u{i}_{k}") for i, k, low, _, _ in wanted],
+        *[F.min(F.when(value[i] > F.lit(high), value[i])).alias(f"a{i}_{k}") for i, k, _, high, _ in wanted],
+    ).first()
     inside = [F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), value[i].alias("value"), value[i].between(F.lit(low), F.lit(high)).alias("in")) for i, k, low, high, _ in wanted]
     held = df.select(F.inline(F.filter(F.array(*inside), lambda x: x["in"]))).drop("in")
     counted = held.groupBy("i", "k", "value").agg(F.count(F.lit(1)).alias("n"))
     running = ordered_totals(counted, [F.col("i").asc(), F.col("k").asc(), F.col("value").asc()], {"cum": "n"}, rank="_rank")
-    places = [(i, k, float(place), int(below[f"b{i}_{k}"])) for i, k, _, _, place in wanted]
-    places = F.broadcast(spark.createDataFrame(places, "i int, k int, place double, below bigint"))
+    # A place at the edge of its bracket lies between a value inside and the next one under or above it.
+    places = [(i, k, float(place), *(below[f"{c}{i}_{k}"] for c in "bua")) for i, k, _, _, place in wanted]
+    places = F.broadcast(spark.createDataFrame(places, "i int, k int, place double, below bigint, under double, above double"))
     starts = running.groupBy("i", "k").agg(F.min(F.col("cum") - F.col("n")).alias("start"))
     placed = running.join(F.broadcast(starts), ["i", "k"]).join(places, ["i", "k"])  # one row per column and quantile
     reached = F.col("below") + F.col("cum") - F.col("start")
+
+    def at(place: Column) -> Column:
+        inside = F.coalesce(F.min(F.when(reached >= place + 1, F.col("value"))), F.first("above"))
+        return F.when(F.first(F.col("below") >= place + 1), F.first("under")).otherwise(inside)
+
     found = placed.groupBy("i", "k").agg(
-        F.min(F.when(reached >= F.floor("place") + 1, F.col("value"))).alias("low"),
-        F.min(F.when(reached >= F.ceil("place") + 1, F.col("value"))).alias("high"),
+        at(F.floor("place")).alias("low"),
+        at(F.ceil("place")).alias("high"),
         F.first(F.col("place") - F.floor("place")).alias("part"),
     )
     quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
@@ -192,17 +238,38 @@ def outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, from one aggregate, over rows where both are known."""
+    """Pearson correlation of every pair of columns, over rows where both are known; null where one does not vary.
 
-    def value(c: str) -> Column:
-        return F.when(~_missing(df, c), _c(c).cast("double"))
-
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    wide = df.agg(*[F.corr(value(a), value(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*entries)))
+    Every task makes the products of whole blocks of rows at once, with masks for what is missing, and
+    keeps one set of sums per pair; the sums of the tasks are added up. Values are taken from the
+    columns' means, so that large offsets do not cancel.
+    """
+    values = [F.when(~_missing(df, c), _c(c).cast("double")) for c in columns]
+    means = df.agg(*[F.avg(v) for v in values]).first()
+    middle = np.array([m or 0.0 for m in means])
+    width = len(columns)
+    rows = df.select(F.array(*values).alias("x"))
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((6, width, width))
+        for b in batches:
+            x = b["x"].flatten()
+            known = ~x.is_null().to_numpy(zero_copy_only=False).reshape(-1, width)
+            x = np.where(known, x.fill_null(0.0).to_numpy().reshape(-1, width) - middle, 0.0)
+            m = known.astype(float)
+            held += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        i, j = np.triu_indices(width, 1)
+        arrays = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(h[i, j]) for h in held]]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", *sums])
+
+    parts = rows.mapInArrow(products, "i int, j int, " + ", ".join(f"{c} double" for c in sums))
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    n, sx, sy, sxx, syy, sxy = map(F.col, sums)
+    spread = (sxx - sx * sx / n) * (syy - sy * sy / n)
+    r = F.when((n > 1) & (spread > 0), (sxy - sx * sy / n) / F.sqrt(spread))
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), r.alias("r"))
 
 
 def target_balance(df: DataFrame, label: str = "y", by: tuple = ()) -> DataFrame:

@@ -37,3 +37,14 @@ def test_profiles_of_several_tables(spark):
     assert {tuple(r) for r in profiling.table_nulls(tables).collect()} == {("a", "user_id", 0.0), ("a", "t", 0.5), ("b", "x", 0.0)}
     assert [tuple(r) for r in profiling.key_counts(tables).collect()] == [("a", 1)]
     assert profiling.table_schemas(tables).count() == 3
+
+
+def test_profiles_as_a_command(spark, tmp_path):
+    spark.createDataFrame([(1, 2.0), (1, None), (2, 5.0)], "user_id bigint, x double").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([("q",)], "name string").write.option("header", True).csv(f"{tmp_path}/b.csv")
+    job.run(spark, job.parse(["--profile", f"a={tmp_path}/a", f"b={tmp_path}/b.csv", "--out", f"{tmp_path}/out"]))
+    read = lambda name: {tuple(r) for r in spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp_path}/out/{name}").collect()}
+    assert read("shapes") == {("a", 3, 2, 6), ("b", 1, 1, 1)}
+    assert read("keys") == {("a", 2)}
+    assert ("a", "x", 1 / 3) in read("missing")
+    assert {(r[0], r[1], r[5]) for r in read("summary_a")} == {("user_id", 3, 1.0), ("x", 2, 2.75)}
