@@ -15,6 +15,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,11 @@ def bucket(text: str, n: int) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest()) % n
 
 
+@lru_cache(REMEMBERED)
+def shape_bucket(shape: str) -> int:
+    return bucket(shape, SHAPE_BUCKETS)
+
+
 def kind_of(char: str) -> int:
     """1 for lower-case and other letters, 2 for capitals, 3 for digits, 4 for blanks, 0 for the rest."""
     if char.isalpha():
@@ -67,9 +73,12 @@ class Buckets(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        shape = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
-        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d+", "0", shape))
-        self[word] = out = bucket(word.lower(), WORD_BUCKETS) + WORD_BUCKETS * bucket(shape, SHAPE_BUCKETS)
+        if word.isalpha():
+            shape = "A" if word.isupper() and len(word) > 1 else "a"
+        else:
+            shape = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
+            shape = re.sub(r"(.)\1+", r"\1", re.sub(r"\d+", "0", shape))
+        self[word] = out = bucket(word.lower(), WORD_BUCKETS) + WORD_BUCKETS * shape_bucket(shape)
         return out
 
 
@@ -82,18 +91,21 @@ class Features:
     def __init__(self):
         self.buckets = Buckets()
 
-    def text(self, words: list[str]) -> np.ndarray:
+    def codes(self, words: list[str]) -> np.ndarray:
+        """The buckets of the words and of their shapes, as one number each."""
+        return np.fromiter(map(self.buckets.__getitem__, words), np.int64, len(words))
+
+    def text(self, codes: np.ndarray) -> np.ndarray:
         """Shares of words and shapes, damped, and how much the commonest word makes up."""
         out = np.zeros(TEXT_WIDTH)
-        if words:
-            at = np.array(list(map(self.buckets.__getitem__, words)))
-            share = np.bincount(at % WORD_BUCKETS, minlength=WORD_BUCKETS) / len(words)
-            shapes = np.bincount(at // WORD_BUCKETS, minlength=SHAPE_BUCKETS) / len(words)
+        if len(codes):
+            share = np.bincount(codes % WORD_BUCKETS, minlength=WORD_BUCKETS) / len(codes)
+            shapes = np.bincount(codes // WORD_BUCKETS, minlength=SHAPE_BUCKETS) / len(codes)
             out[:-1] = np.sqrt(np.r_[share, shapes])
             out[-1] = share.max()
         return out
 
-    def meta(self, text: str, words: list[str], source: str | None, lang: str | None) -> np.ndarray:
+    def meta(self, text: str, words: list[str], codes: np.ndarray, source: str | None, lang: str | None) -> np.ndarray:
         """Where the page is from and how it is laid out."""
         out = np.zeros(META_WIDTH)
         out[bucket(f"s{source}", SOURCE_BUCKETS)] = 1
@@ -102,7 +114,7 @@ class Features:
         points = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
         other, small, capitals, digits, blanks = np.bincount(KINDS[points], minlength=5)
         words_n = max(1, len(words))
-        again = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        again = np.count_nonzero(codes[1:] == codes[:-1])
         out[-LAYOUT:] = [
             math.log1p(len(text)) / 10,
             math.log1p(lines) / 10,
@@ -119,7 +131,8 @@ class Features:
 
     def both(self, text: str, source: str | None, lang: str | None) -> tuple[np.ndarray, np.ndarray]:
         words = text.split()
-        return self.text(words), self.meta(text, words, source, lang)
+        codes = self.codes(words)
+        return self.text(codes), self.meta(text, words, codes, source, lang)
 
 
 _features: list[Features] = []
