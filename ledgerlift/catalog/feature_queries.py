@@ -9,6 +9,8 @@ from ledgerlift.catalog.views import Views, with_views
 from ledgerlift.functions.arithmetic import whole_days
 from ledgerlift.operators import cohort, diversity, flow, spending, supervised
 from ledgerlift.plans import features
+from ledgerlift.plans.incremental import FeatureState
+from ledgerlift.session import stage, staging_path
 
 # The categories of the given tables, for writing pivots in SQL.
 CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -473,3 +475,15 @@ def _exploratory_sql() -> str:
 @query("supervised_exploratory", _exploratory_sql())
 def supervised_exploratory(v: Views):
     return features.supervised_table(v.adv(), v.adv_labels(), v.tx(), variant="exploratory")
+
+
+@query("supervised_incremental", _supervised_sql())
+def supervised_incremental(v: Views):
+    """The supervised table from transactions that are folded in file by file, here by return flag."""
+    tx, joined = v.tx(), stage(cohort.label_join(v.fa(), v.adv_labels()), "cohort")
+    state = FeatureState(v.spark, staging_path(v.spark, "state"))
+    state.begin(joined.select("user_id", "underwritten_at").distinct())
+    known = F.coalesce(F.col("amount") < 0, F.lit(False))
+    state.append(tx.where(known))
+    state.append(tx.where(~known))
+    return supervised.assemble(supervised.labelled_users(joined, "target", ("user_id", "request_id")), [state.features()])

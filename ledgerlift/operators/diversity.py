@@ -251,10 +251,38 @@ def user_features(
     Users without any counted transaction are absent. Money counts all of a user's transactions, or
     with ``as_of`` only those before the anchor.
     """
-    rows = before_anchor(tx, anchors) if as_of else join_anchors(tx, anchors)
-    by_value = _by_value(rows, lookbacks, money=True, scale=scale)
     if variant not in ("standard", "exploratory"):
         raise ValueError(f"unknown variant {variant}")
+    return features_of_partials(feature_partials(tx, anchors, lookbacks, as_of, scale), names, lookbacks, scale, variant)
+
+
+def feature_partials(
+    tx: DataFrame, anchors: DataFrame, lookbacks=LOOKBACKS, as_of: bool = False, scale: int = 4
+) -> DataFrame:
+    """What the features of anchored users are made from: counts, dates and money per (anchor, kind, value).
+
+    Partials of different transactions can be merged, see ``merged_partials``.
+    """
+    rows = before_anchor(tx, anchors) if as_of else join_anchors(tx, anchors)
+    return _by_value(rows, lookbacks, money=True, scale=scale)
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """One partial per (anchor, kind, value) from those of several sets of transactions."""
+
+    def merge(c: str) -> Column:
+        if c in ("first_date", "last_date"):
+            return (F.min if c == "first_date" else F.max)(c)
+        return checked_sum(F.col(c)) if c.endswith("_units") else F.sum(c)
+
+    keys = ("anchor", "kind", "value")
+    return partials.groupBy(*keys).agg(*[merge(c).alias(c) for c in partials.columns if c not in keys])
+
+
+def features_of_partials(
+    by_value: DataFrame, names: list[str], lookbacks=LOOKBACKS, scale: int = 4, variant: str = "standard"
+) -> DataFrame:
+    """One row of features per anchored user from merged partials."""
     over = "transactions" if variant == "standard" else "merchants"
     per_anchor = _per_anchor(by_value, lookbacks, over, names, scale)
     features, columns = _of_variant(with_flow_ratios(_with_time_features(per_anchor)), lookbacks, variant)
