@@ -64,7 +64,7 @@ class Sizes:
 
 SMALL = Sizes(
     forest_trees=10, boost_rounds=5, boost_rate=0.3, boost_depth=3, boost_leaves=8, landmarks=64,
-    svc_folds=2, folds=2, max_bins=32, leaf_min_rows=1, trees_a_task=5,
+    svc_folds=2, folds=2, max_bins=32, trees_a_task=5,
 )
 
 

@@ -1,11 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ledgerlift.operators import importance
 from ledgerlift.operators import model as M
+from ledgerlift.operators import trees as T
 from ledgerlift.operators.split import class_weights
 from ledgerlift.plans import ranking
 from ledgerlift.session import stage
@@ -71,11 +73,6 @@ def test_permutation_importance(report, supervised):
     assert {r.feature: r.importance for r in by_chunks.collect()} == got
 
 
-class Rule:
-    def predict(self, x):
-        return (x[:, 0] > 0.5).astype(int)
-
-
 def test_permutation_against_brute_force(spark):
     """A learner that predicts x0 > 0.5, with the moves worked out by hand."""
     n, repeats, seed = 57, 4, 9
@@ -83,7 +80,10 @@ def test_permutation_against_brute_force(spark):
     data = [(i, rng.randrange(2), [rng.random(), rng.random()]) for i in range(n)]
     df = spark.createDataFrame(data, "id bigint, y int, x array<double>").select("id", "y", array_to_vector("x").alias("features"))
 
-    learner = M.Learner("rule", Rule())
+    rule = T.Tree()
+    for side, value in zip(rule.split(0, 0, 0, 1.0), (0.0, 1.0)):
+        rule.value[side] = value
+    learner = M.Learner("rule", T.Ensemble(T.Recipe("rule", True, 1), 0.0, [rule.arrays()], [np.array([0.5])] * 2))
     got = {r.feature: r.importance for r in importance.permutation_importance(learner, df, ["a", "b"], repeats=repeats, seed=seed).collect()}
     import hashlib
 
