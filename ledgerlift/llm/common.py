@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.session import shared_dir, stage, staging_path
 
-__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width", "delete", "pressed", "unpressed"]
+__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width", "stage_at", "delete", "pressed", "unpressed"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,13 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stage``, with the path, for a table that goes when its last reader has."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a staged table that has no readers left."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

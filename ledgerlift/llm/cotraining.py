@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import shuffle_width, staging_path, whole_text
+from ledgerlift.llm.common import delete, shuffle_width, staging_path, whole_text
 
 WORD_BUCKETS, SHAPE_BUCKETS = 512, 256
 SOURCE_BUCKETS, LANG_BUCKETS, LAYOUT = 64, 16, 10
@@ -173,8 +173,8 @@ def uniform(column: str, seed: int) -> Column:
     return (F.xxhash64(F.col(column), F.lit(seed)).cast("double") / 2.0**64) + 0.5
 
 
-def featured(docs: DataFrame, labels: DataFrame, how: CoTraining) -> tuple[DataFrame, DataFrame]:
-    """Features of at most how.labelled labelled documents, and of all others, staged.
+def featured(docs: DataFrame, labels: DataFrame, how: CoTraining) -> tuple[DataFrame, DataFrame, str]:
+    """Features of at most how.labelled labelled documents, and of all others, staged, and their path.
 
     Labels that are null, not 0 or 1, or contradict each other are not used.
     """
@@ -215,7 +215,7 @@ def featured(docs: DataFrame, labels: DataFrame, how: CoTraining) -> tuple[DataF
     path = staging_path(docs.sparkSession, "features")
     rows.mapInArrow(make, FEATURES).write.partitionBy("known").parquet(path)
     whole = docs.sparkSession.read.schema(FEATURES).parquet(path)
-    return whole.where("known"), whole.where("not known")
+    return whole.where("known"), whole.where("not known"), path
 
 
 def matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -341,7 +341,15 @@ def taught(rows: DataFrame, views: list[np.ndarray], how: CoTraining) -> list[np
 
 def fit(docs: DataFrame, labels: DataFrame, how: CoTraining = CoTraining()) -> Quality:
     """Both views after ``how.rounds`` exchanges, calibrated and weighed on held-out labels."""
-    labelled, others = featured(docs, labels, how)
+    labelled, others, path = featured(docs, labels, how)
+    try:
+        return fitted_views(labelled, others, how)
+    finally:
+        delete(docs.sparkSession, path)
+
+
+def fitted_views(labelled: DataFrame, others: DataFrame, how: CoTraining) -> Quality:
+    """As ``fit``, from the features."""
     seen = {(r.held, r.y): r["count"] for r in labelled.groupBy("held", "y").count().collect()}
     if len(seen) < 4:
         good = sum(n for (_, y), n in seen.items() if y == 1)

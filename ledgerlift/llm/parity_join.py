@@ -25,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import delete, pressed, shuffle_width, stage, staging_path, unpressed, whole_text
+from ledgerlift.llm.common import delete, pressed, shuffle_width, stage, stage_at, staging_path, unpressed, whole_text
 from ledgerlift.llm.components import components
 
 REMEMBERED = 1 << 16
 GROWTH = 1.35
 #: Sets of one block that a task compares with as many others; larger blocks are cut into such tiles.
 TILE = 4096
+#: Pairs of each set that are verified first, where sketches leave many.
+NEAREST = 2
 #: Sketch words that are compared at once.
 WORDS_AT_ONCE = 1 << 21
 #: A set finds fewer equal blocks than it needs with the chance of so many standard deviations.
@@ -357,7 +359,8 @@ def tiled(rows: DataFrame) -> DataFrame:
 
 
 def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets that share a block, have different labels, and are near by size and sketch.
+    """Pairs (a, b) of sets that share a block, have different labels, and are near by size and sketch, with
+    ``apart``, in how many bits their sketches differ.
 
     ``rows`` has block, set, label, n and sketch. Every pair of tiles of a block is compared in one task.
     """
@@ -372,7 +375,7 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
             out[i] = np.bitwise_xor.reduce(halves)
         return out
 
-    def near(group: dict) -> tuple[np.ndarray, np.ndarray]:
+    def near(group: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         label, n, tile, low, high, name = (group[c] for c in ("label", "n", "tile", "low", "high", "set"))
         words = folded(group["sketch"])
         left = np.flatnonzero(tile == low[0])
@@ -388,9 +391,9 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
             if left is right:
                 ok &= i < right
             x, y = np.nonzero(ok)
-            found.append((name[i[x, 0]], name[right[y]]))
-        x, y = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (name[:0], name[:0])
-        return np.minimum(x, y), np.maximum(x, y)
+            found.append((name[i[x, 0]], name[right[y]], apart[x, y]))
+        x, y, d = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (name[:0], name[:0], name[:0])
+        return np.minimum(x, y), np.maximum(x, y), d
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
@@ -405,10 +408,10 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 if len(given) > REMEMBERED:
                     given.clear()
                 given.update(told)
-                a, b = zip(*told, strict=True) if told else ((), ())
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                columns = zip(*told, strict=True) if told else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "apart"])
 
-        given: set[tuple[int, int]] = set()
+        given: set[tuple[int, int, int]] = set()
 
         for batch in batches:
             if not batch.num_rows:
@@ -429,7 +432,9 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from pairs(held)
 
-    return placed.mapInArrow(stream, "a bigint, b bigint").distinct()
+    # Sketches of different sizes are compared at the smaller one, so tiles may differ in what they see.
+    found = placed.mapInArrow(stream, "a bigint, b bigint, apart bigint")
+    return found.groupBy("a", "b").agg(F.max("apart").alias("apart"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -456,7 +461,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
     some = stage(shared.select("set").distinct(), "shared")
     info = sets.where("sketch is not null").groupBy("set").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     known = whole_sets(docs, names.join(some, "set"), words).join(info, "set")
-    known = stage(known, "sets")
+    known, known_path = stage_at(known, "sets")
     labels = some.select("set", F.col("set").alias("label"))
 
     def split(rows: DataFrame) -> DataFrame:
@@ -489,13 +494,29 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
     for turn in range(rounds + 1):
         rows = stage(split(shared.join(labels, "set")), "apart")
         if rows.isEmpty():
-            return labels
+            break
         if turn < rounds:
             pairs = stage(with_hubs(rows, used), "hubs")
             hubs = pairs.select(F.col("b").alias("set")).distinct()
             used = hubs if used is None else used.unionByName(hubs).distinct()
             labels = merged(pairs)
-    return merged(close_pairs(rows.join(known.select("set", "n", "sketch"), "set"), percent))
+    else:
+        pairs = stage(close_pairs(rows.join(known.select("set", "n", "sketch"), "set"), percent), "close")
+        most = NEAREST
+        while True:
+            # The nearest pairs of every set come first: what they connect needs no others.
+            a, b = (labels.select(F.col("set").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+            apart = pairs.join(a, "a").join(b, "b").where("label_a <> label_b").select("a", "b", "apart")
+            turns = [F.row_number().over(Window.partitionBy(x).orderBy("apart", y)).alias(f"turn_{x}") for x, y in ("ab", "ba")]
+            apart = stage(apart.select("*", *turns), "open")
+            if apart.isEmpty():
+                break
+            now = (F.col("turn_a") <= most) | (F.col("turn_b") <= most)
+            labels = merged(apart.where(now).select("a", "b"))
+            pairs, most = apart.where(~now).select("a", "b", "apart"), 4 * most
+    # The labels are staged, or those of the sets themselves: the sets' shingles have no readers left.
+    delete(docs.sparkSession, known_path)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:

@@ -46,7 +46,7 @@ def test_accuracy_on_given_documents(spark):
 def test_labelled_rows_are_bounded_and_all_others_teach(spark):
     rows, truth = corpus(600)
     df, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, q, 0) for i, q in truth.items()], LABELS)
-    labelled, others = featured(df, labels, CoTraining(labelled=50))
+    labelled, others, _ = featured(df, labels, CoTraining(labelled=50))
     assert 20 < labelled.count() <= 50 and labelled.count() + others.count() == 600
     model = fit(df, labels, CoTraining(labelled=200))
     assert model.text is not None and max(model.weights[:2]) > 0
