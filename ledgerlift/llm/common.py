@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.session import shared_dir, stage, staging_path
 
-__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width", "stage_at", "delete", "pressed", "unpressed"]
+__all__ = ["shared_dir", "stage", "staging_path", "table", "whole_text", "shuffle_width", "stage_at", "delete", "pressed", "unpressed", "in_parts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,16 @@ def pressed(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInArrow(press, schema)
 
 
+def in_parts(batch: pa.RecordBatch, size: np.ndarray, at_once: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose rows have about ``at_once`` bytes together, by their sizes; a larger row is a part of its own."""
+    if not batch.num_rows:
+        return
+    part = np.cumsum(size) // at_once
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def unpressed(text: bytes, size: int) -> bytes:
     """The UTF-8 bytes of a text that ``pressed`` has compressed."""
     return pa.decompress(text, size, "zstd", asbytes=True)

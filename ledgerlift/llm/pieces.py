@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerlift.llm.common import whole_text
+from ledgerlift.llm.common import in_parts, whole_text
 
 SPACE = "▁"
 #: Words whose ids a task remembers, and the longest word worth remembering. They decide the speed only.
@@ -403,13 +403,8 @@ def pieces(model: bytes) -> Pieces:
 
 def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about TEXTS_AT_ONCE bytes of a text column; a longer text is a part of its own."""
-    if not batch.num_rows:
-        return
     size = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size) // TEXTS_AT_ONCE
-    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-        yield batch.slice(a, b - a)
+    yield from in_parts(batch, size, TEXTS_AT_ONCE)
 
 
 def with_ids(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import pressed, shuffle_width, stage, unpressed, whole_text
+from ledgerlift.llm.common import in_parts, pressed, shuffle_width, stage, unpressed, whole_text
 
 GRAM = 16
 #: Documents that the splitters are drawn from, and suffixes of each. They decide the balance, not the result.
@@ -26,6 +26,8 @@ SAMPLE_DOCS, SAMPLE_SUFFIXES = 2000, 64
 #: Suffixes of one anchor that a task compares at once; beyond it they are compared string by string.
 MOST_SUFFIXES = 500_000
 RANGES_A_TASK = 4
+#: Bytes of texts whose suffixes a task makes at once.
+TEXTS_AT_ONCE = 1 << 23
 #: Bits of an anchor's hash that say whether documents share it, besides those that choose its part.
 TOKEN_BITS = 40
 PACKED = ("part", "names", "tokens", "docs", "several", "told_tokens", "told_docs")
@@ -363,7 +365,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
             yield shared_tokens(held)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in in_parts(whole, whole["size"].to_numpy(), TEXTS_AT_ONCE)):
             parts, seen = [], None
             columns = (*(b[c].to_pylist() for c in ("id", "hash", "size", "text")), b["shared"])
             for i, h, size, text, wanted in zip(*columns, strict=True):
@@ -498,7 +500,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in in_parts(whole, whole["size"].to_numpy(), TEXTS_AT_ONCE)):
             out = []
             columns = (b[c].to_pylist() for c in ("id", "size", "text", "marks", "copy"))
             for i, size, text, found, copy in zip(*columns, strict=True):
