@@ -30,7 +30,7 @@ SOURCE_BUCKETS, LANG_BUCKETS, LAYOUT = 64, 16, 10
 TEXT_WIDTH = WORD_BUCKETS + SHAPE_BUCKETS + 1
 META_WIDTH = SOURCE_BUCKETS + LANG_BUCKETS + LAYOUT
 #: Words whose buckets a task remembers, rows that are one matrix, and steps that a fit takes at most.
-REMEMBERED, ROWS_AT_ONCE, STEPS = 1 << 19, 2048, 25
+REMEMBERED, ROWS_AT_ONCE, STEPS = 1 << 18, 2048, 25
 #: The curvature that a taught document counts with at least: lessons are sure, and would else have next to none.
 LEAST_CURVATURE = 0.05
 FEATURES = "y double, held boolean, at binary, share binary, meta binary, known boolean"

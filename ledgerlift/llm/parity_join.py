@@ -42,7 +42,7 @@ FACTS = "doc_id bigint, text_hash bigint, n_shingles bigint, set bigint, sketch
 PACKS = "part int, names binary, tokens binary, places binary"
 #: Bits of a block's key besides those that choose its part, keys that a task packs at once, and parts of
 #: a task that reads them: a part's keys are held in memory. Two blocks of one key only cost a comparison.
-KEY_BITS, KEYS_AT_ONCE, PARTS_A_TASK = 40, 1 << 22, 4
+KEY_BITS, KEYS_AT_ONCE, PARTS_A_TASK = 40, 1 << 20, 4
 
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
