@@ -41,7 +41,7 @@ def test_quantiles_are_exact(spark, n):
     rows = [(v, float(i % 3), None, float("nan")) for i, v in enumerate(values)] + [(None, None, None, None)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(4)
     probs = (0.0, 0.1, 0.5, 0.75, 1.0)
-    got = {r[0]: tuple(r)[1:] for r in profile.exact_quantiles(df, ["a", "b", "c", "d"], probs, accuracy=50).collect()}
+    got = {r[0]: tuple(r)[1:] for r in profile.exact_quantiles(df, ["a", "b", "c", "d"], probs).collect()}
     assert set(got) == ({"a", "b"} if n else set())
     if n:
         assert got["a"] == pytest.approx(np.quantile(values, probs))
