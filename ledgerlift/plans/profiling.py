@@ -32,5 +32,5 @@ def table_schemas(tables: dict[str, DataFrame]) -> DataFrame:
 
 def key_counts(tables: dict[str, DataFrame], key: str = "user_id") -> DataFrame:
     """Distinct keys of every table that has the key."""
-    found = {name: profile.distinct_counts(df, [key]) for name, df in tables.items() if key in df.columns}
+    found = {name: profile.distinct_counts(df, [key], bitmaps=True) for name, df in tables.items() if key in df.columns}
     return _labelled(found).drop("column_name")

@@ -56,6 +56,26 @@ def test_distinct_counts_of_dense_and_sparse_numbers(spark):
     assert set(profile._dense(df, df.columns)) == {0, 2, 3}
 
 
+def test_distinct_counts_of_many_types_read_the_rows_once(spark):
+    n = F.col("id")
+    df = spark.range(2000).select(
+        (n * 10**9 - 2**62).alias("sparse"),
+        (n % 300 - 150).cast("int").alias("small"),
+        F.when(n % 3 == 0, F.lit(float("nan"))).when(n % 3 == 1, F.lit(-0.0)).otherwise(0.0).alias("zero"),
+        (n % 70).cast("double").alias("number"),
+        F.when(n % 2 == 0, (n % 50).cast("string")).alias("text"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (n % 40).cast("int")).alias("day"),
+        (n % 9).cast("decimal(20,2)").alias("money"),
+        F.array(n % 4).alias("list"),
+        (n % 2 == 0).alias("flag"),
+    )
+    want = {"sparse": 2000, "small": 300, "zero": 1, "number": 70, "text": 25, "day": 40, "money": 9, "list": 4, "flag": 2}
+    for bitmaps in (False, True):
+        assert {r.column_name: r.distinct_values for r in profile.distinct_counts(df, bitmaps=bitmaps).collect()} == want
+    plan = profile.distinct_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 2000") == 1
+
+
 def test_running_totals_exchange_the_rows_once(spark):
     rows = [(i, (i * 7919) % 101 / 101, i % 3, float(i)) for i in range(500)]
     df = spark.createDataFrame(rows, "id bigint, p double, y int, x double").repartition(6)
