@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.arithmetic import checked_sum, days_before, from_units, guarded_ratio, units, whole_days
 from ledgerlift.operators.flow import FLOW_COLUMNS, with_flow_ratios
 from ledgerlift.operators.spending import INCOME, INFLOW_CATEGORIES, TRANSFER_IN
+from ledgerlift.session import stage
 from ledgerlift.sources.tables import require_same_type
 
 # The lookback windows in days.
@@ -238,7 +239,8 @@ def diversity_features(
     features = features.select(F.col("anchor.user_id").alias("user_id"), *columns)
     out = anchors.select("user_id").join(features, "user_id", "left")
     if variant == "exploratory":
-        out = fill_with_max(out, "days_since_last_transaction")
+        # Staged, one row per user: the largest recency would else be a second pass over the transactions.
+        out = fill_with_max(stage(out, "features"), "days_since_last_transaction")
     return out.na.fill(0, columns)
 
 
