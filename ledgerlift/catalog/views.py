@@ -28,26 +28,33 @@ class Views:
 
     def tx(self) -> DataFrame:
         """Lineitems as transactions: returned items are money coming in."""
+        returned, open_ = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
+        # What a lineitem has to say is made small before it moves.
+        lines = self.table("lineitem").select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            F.col("l_shipdate").alias("date"),
+            F.when(returned, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
+            F.when(returned & open_, 1).when(returned, 2).when(F.col("l_quantity") != 50, 3).cast("tinyint").alias("kind"),
+        )
         orders = self.table("orders").select("o_orderkey", "o_custkey")
         supplier = self.table("supplier").select("s_suppkey", "s_name")
         part = self.table("part").select("p_partkey", "p_type", "p_brand")
         rows = (
-            self.table("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         )
-        returned, open_ = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
+        kind = F.col("kind")
         return rows.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
             F.col("o_custkey").alias("user_id"),
-            F.col("l_shipdate").alias("date"),
-            F.when(returned, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
+            "date",
+            "amount",
             F.when(F.col("l_linenumber") != 3, F.col("s_name")).alias("merchant_name"),
-            F.when(returned & open_, "TRANSFER_IN")
-            .when(returned, "INCOME")
-            .when(F.col("l_quantity") != 50, F.col("p_type"))
-            .alias("primary_category"),
+            F.when(kind == 1, "TRANSFER_IN").when(kind == 2, "INCOME").when(kind == 3, F.col("p_type")).alias("primary_category"),
             F.col("p_brand").alias("detailed_category"),
         )
 

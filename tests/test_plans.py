@@ -50,6 +50,24 @@ def test_features_scan_transactions_once_and_shuffle_by_more_than_the_user(spark
     assert plan.count("partial_") and "Window" not in plan
 
 
+def test_largest_recency_takes_no_second_pass(spark, no_broadcast):
+    tx = random_tx(spark)
+    anchors = spark.createDataFrame([(u, T0) for u in range(50)], ANCHORS)
+    got = diversity.diversity_features(tx, anchors, variant="exploratory")
+    plan = plan_of(got)
+    assert "Join" not in plan and "keys=[anchor" not in plan
+    assert got.count() == 50
+
+
+def test_transactions_are_made_small_before_they_move(spark, no_broadcast):
+    plan = plan_of(Views(spark, SF).tx())
+    assert "AS kind" in plan[plan.index("Exchange hashpartitioning(l_orderkey") :]
+    # The categories that occur need no merchants.
+    tx = Views(spark, SF).tx()
+    plan = plan_of(tx.where("primary_category is not null").groupBy("primary_category").agg(F.bool_or(F.col("amount") > 0)))
+    assert "p_type" in plan and "s_suppkey" not in plan
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     v = Views(spark, SF)
     plan = QUERIES["income_totals"](spark, SF)._jdf.queryExecution().toString()
