@@ -171,3 +171,61 @@ def test_tasks_and_steps_give_the_same_models(spark):
     a, b = ({r.id: r.p for r in m.score(df).collect()} for m in (in_tasks, by_steps))
     assert a == pytest.approx(b, abs=1e-6)
     assert in_tasks.weights() == pytest.approx(by_steps.weights(), abs=1e-4)
+
+
+def test_near_counts_give_what_all_cells_give():
+    x, y, use, key, edges = data(600)
+    x = np.c_[x, x[:, 0]]  # a feature that comes twice
+    edges = [*edges, edges[0]]
+    bins = T.binned(x, edges).astype(np.uint8)
+    block = T.Block(None, y, use, key, edges, bins)
+
+    def by_cells(fit):
+        answer = None
+        while True:
+            try:
+                answer = fit.send(answer).of(block)
+            except StopIteration as end:
+                return end.value
+
+    small = {"trees": 8, "rate": 0.3, "l2": 1.0}
+    for recipe in (
+        T.Recipe("f", True, 6, min_rows=2),
+        T.Recipe("d", False, depth=5, min_hessian=1.0, rows=0.8, features=0.8, weight="positive", **small),
+        T.Recipe("l", False, leaves=12, min_rows=5, from_average=True, weight="balanced", **small),
+    ):
+        _, near = T.alone(block, T.fit_ensemble(recipe, 0, x.shape[1]))
+        _, cells = by_cells(T.fit_ensemble(recipe, 0, x.shape[1]))
+        assert np.allclose(T.margin_of(bins, near), T.margin_of(bins, cells))
+        if recipe.forest:
+            assert all((a == b).all() for s, t in zip(near, cells, strict=True) for a, b in zip(s, t, strict=True))
+        elif recipe.features == 1:
+            # Of splits that part the same rows the first feature's is taken.
+            assert not any((t[0] == x.shape[1] - 1).any() for t in near)
+
+
+def test_kernel_machine_of_several_blocks():
+    x, y, use, key, edges = data(300)
+    blocks = [T.Block(x[a : a + 100], y[a : a + 100], use[a : a + 100], key[a : a + 100], edges) for a in (0, 100, 200)]
+    whole, cut = (T.alone(b, T.fit_kernel(1, 2.0, 60, 3, 50)) for b in (T.Block(x, y, use, key, edges), blocks))
+    assert np.allclose(whole.probability(x), cut.probability(x), atol=1e-6)
+
+
+def test_forests_stay_in_staged_tables(spark, monkeypatch):
+    """Fitting and scoring a stack brings no tree of a forest to the driver; rows meet the trees in buckets."""
+    x, y, *_ = data(300, parts=1)
+    names = [f"f{j}" for j in range(x.shape[1])]
+    rows = [(f"r{i}", int(y[i]), *map(float, x[i])) for i in range(len(y))]
+    df = spark.createDataFrame(rows, "id string, y int, " + ", ".join(f"{n} double" for n in names))
+    sizes = M.Sizes(forest_trees=7, boost_rounds=2, boost_depth=2, boost_leaves=3, landmarks=20, svc_folds=2, folds=2, max_bins=300, leaf_min_rows=5, trees_a_task=3)
+    monkeypatch.setattr(M, "SCORED_ROWS", 100)
+    monkeypatch.setattr(M.Forest, "gathered", None)
+    model = M.fit_stack(df, names, "y", "id", sizes)
+    forest = model.learners["rf"].model
+    assert isinstance(forest, M.Forest) and (forest.numbers, forest.trees) == (3, 7)
+    scored = {r.id: (r.p, r.k) for r in model.learners["rf"].add_prediction(model.learners["rf"].add_score(model.prepare(df), "p"), "k").collect()}
+    monkeypatch.undo()
+    ensemble = forest.gathered(M.recipes(sizes)["rf"])
+    assert len(ensemble.trees) == 7 and len(scored) == 300
+    for i, p in enumerate(ensemble.probability(x)):
+        assert scored[f"r{i}"] == (pytest.approx(p), int(p >= 0.5))
