@@ -15,7 +15,7 @@ from ledgerlift.operators.model import (
     StackModel,
     cross_validated_scores,
     feature_vector,
-    fit_learner,
+    fit_learners,
     fit_stack,
     weight_table,
 )
@@ -97,10 +97,8 @@ def single_model_importances(
     rows = stage(stratified_split(rows, "y", "row_id", test_size, sizes.seed), "split")
     table = rows.select(F.col("row_id").alias("id"), "y", "split", feature_vector(features).alias("features"))
     train, test = table.where("split = 'train'"), table.where("split = 'test'")
-    parts = []
-    for name in LEARNERS:
-        learner = fit_learner(train, "y", "id", name, sizes, boost_weight="none")
-        parts.append(importance.learner_importance(learner, test, features, repeats))
+    learners = fit_learners(train, "y", "id", LEARNERS, sizes, boost_weight="none")
+    parts = [importance.learner_importance(learner, test, features, repeats) for learner in learners.values()]
     return reduce(DataFrame.unionByName, parts)
 
 
