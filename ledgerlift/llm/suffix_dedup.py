@@ -28,6 +28,8 @@ MOST_SUFFIXES = 500_000
 RANGES_A_TASK = 4
 #: Bytes of texts whose suffixes a task makes at once.
 TEXTS_AT_ONCE = 1 << 23
+#: Bytes of texts that a task cuts at once.
+CUT_AT_ONCE = 1 << 19
 #: Bits of an anchor's hash that say whether documents share it, besides those that choose its part.
 TOKEN_BITS = 40
 PACKED = ("part", "names", "tokens", "docs", "several", "told_tokens", "told_docs")
@@ -161,16 +163,38 @@ def strings_of(around: np.ndarray, own: np.ndarray, length: int) -> Iterator[tup
         yield d, rows, [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in cut]
 
 
-def removed(data: np.ndarray, spots: list[int], offsets: list[int], length: int) -> np.ndarray:
-    """Which bytes are covered by the strings that start ``offset`` bits before their anchors."""
-    edge = np.zeros(len(data) + 1, np.int32)
-    if spots:
-        bits = np.array(offsets, np.int64)[:, None] >> np.arange(length - GRAM + 1) & 1
-        row, d = np.nonzero(bits)
-        start = np.array(spots, np.int64)[row] - d
-        np.add.at(edge, start, 1)
-        np.add.at(edge, start + length, -1)
-    return np.cumsum(edge)[:-1] > 0
+def removed(size: int, spots: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
+    """Changes of depth, from place to place, of the strings that start ``offset`` bits before their anchors."""
+    edge = np.zeros(size + 1, np.int32)
+    row, d = np.nonzero(offsets[:, None] >> np.arange(length - GRAM + 1) & 1)
+    start = spots[row] - d
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + length, -1)
+    return edge
+
+
+def without_marks(texts: list[bytes], marks: pa.ListArray, copy: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of some texts the bytes removed, the maximal runs of them, and what is left; of copies all is removed."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    base = ends - sizes
+    # The texts lie one after the other; no string leaves its own.
+    held = marks.flatten()
+    spots, offsets = (x.to_numpy() for x in held.flatten())
+    number = pc.fill_null(pc.list_value_length(marks), 0).to_numpy()
+    edge = removed(len(data), spots + np.repeat(base, number), offsets, length)
+    np.add.at(edge, base[copy], 1)
+    np.add.at(edge, ends[copy], -1)
+    gone = np.cumsum(edge, dtype=np.int32)[:-1] > 0
+    begins = gone.copy()
+    begins[1:] &= ~gone[:-1]
+    starts = base[sizes > 0]
+    begins[starts] = gone[starts]
+    n_removed, n_spans = (np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]]) for x in (gone, begins))
+    left = np.r_[0, np.cumsum(sizes - n_removed)].astype(np.int32)
+    kept = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(left), pa.py_buffer(data[~gone].tobytes())])
+    return n_removed, n_spans, kept
 
 
 def buffer(text: str | bytes) -> np.ndarray:
@@ -500,24 +524,14 @@ def remove_repeats(docs: DataFrame, length: int = 50, most: int = MOST_SUFFIXES)
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for whole in batches for part in in_parts(whole, whole["size"].to_numpy(), TEXTS_AT_ONCE)):
-            out = []
-            columns = (b[c].to_pylist() for c in ("id", "size", "text", "marks", "copy"))
-            for i, size, text, found, copy in zip(*columns, strict=True):
-                data = buffer(unpressed(text, size))
-                if copy:
-                    gone = np.ones(len(data), bool)
-                else:
-                    found = found or []
-                    gone = removed(data, [m["spot"] for m in found], [m["offsets"] for m in found], length)
-                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                doc = None if i == -(2**63) else i
-                out.append((doc, len(data), int(gone.sum()), spans, data[~gone].tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
-            if out:
-                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, list(names))
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+        for b in (part for whole in batches for part in in_parts(whole, whole["size"].to_numpy(), CUT_AT_ONCE)):
+            texts = list(map(unpressed, b["text"].to_pylist(), b["size"].to_pylist()))
+            copy = pc.fill_null(b["copy"], False).to_numpy(zero_copy_only=False)
+            n_removed, n_spans, kept = without_marks(texts, b["marks"], copy, length)
+            ids = b["id"].to_numpy()
+            arrays = [pa.array(ids, mask=ids == -(2**63)), b["size"], pa.array(n_removed), pa.array(n_spans), kept]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     joined = rows.join(marks, name, "left")
     return joined.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerlift.llm.suffix_dedup import anchors, big_endian_words, multikey_order, remove_repeats, settled_here
+from ledgerlift.llm.suffix_dedup import anchors, big_endian_words, multikey_order, remove_repeats, settled_here, without_marks
 
 SCHEMA = "doc_id bigint, text string, id int, spot string, digest int"
 
@@ -104,3 +105,16 @@ def test_multikey_order_is_the_order_of_bytes():
     rows = rng.integers(0, 2, (500, 19)).astype(np.uint8)
     order = multikey_order(big_endian_words(rows))
     assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows)
+
+
+def test_texts_are_cut_together():
+    """Arrow lists in, one array of bytes out: no object per mark; runs of neighbours do not run together."""
+    texts = [b"ab" * 40, b"", b"c" * 60, b"d" * 55, b"e" * 70]
+    kind = pa.list_(pa.struct({"spot": pa.int64(), "offsets": pa.int64()}))
+    marks = [[{"spot": 30, "offsets": 1}, {"spot": 21, "offsets": 1 << 1 | 1 << 21}], None, [], None, [{"spot": 0, "offsets": 1}, {"spot": 20, "offsets": 1}]]
+    skipped = pa.array([[{"spot": 7, "offsets": 3}], *marks], kind)[1:]
+    copy = np.array([False, False, False, True, False])
+    gone, runs, kept = without_marks(texts, skipped, copy, 50)
+    assert gone.tolist() == [80, 0, 0, 55, 70] and runs.tolist() == [1, 0, 0, 1, 1]
+    assert kept.to_pylist() == [b"", b"", b"c" * 60, b"", b""]
+    assert without_marks([], pa.array([], kind), np.zeros(0, bool), 50)[2].to_pylist() == []
