@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import delete, pressed, shuffle_width, stage, stage_at, staging_path, unpressed, whole_text
+from ledgerlift.llm.common import (
+    CLEANUP, delete, in_parts, pressed, setting, shuffle_width, small_batches, stage, stage_at, staging_path, unpressed, whole_text,
+)
 from ledgerlift.llm.components import components
 
 REMEMBERED = 1 << 16
@@ -42,46 +44,106 @@ FACTS = "doc_id bigint, text_hash bigint, n_shingles bigint, set bigint, sketch
 PACKS = "part int, names binary, tokens binary, places binary"
 #: Bits of a block's key besides those that choose its part, keys that a task packs at once, and parts of
 #: a task that reads them: a part's keys are held in memory. Two blocks of one key only cost a comparison.
-KEY_BITS, KEYS_AT_ONCE, PARTS_A_TASK = 40, 1 << 20, 4
+KEY_BITS, KEYS_AT_ONCE, PARTS_A_TASK = 32, 1 << 20, 4
+#: Bytes of texts that a task holds as Python objects at once.
+TEXTS_AT_ONCE = 1 << 19
 
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+LOW = np.uint64(0xFFFFFFFF)
+#: Bytes of words, masks of the first bytes of eight, and the words that are hashed one by one.
+IN_WORD = np.array([chr(i) not in " \t\n\v\f\r" for i in range(256)])
+HELD = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+LONG_WORD = 64
+S27, S30, S31, S32 = (np.uint64(n) for n in (27, 30, 31, 32))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * K2
-    x = (x ^ (x >> np.uint64(27))) * K3
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> S30)
+    x *= K2
+    x ^= x >> S27
+    x *= K3
+    x ^= x >> S31
+    return x
+
+
+def firsts(values: np.ndarray) -> np.ndarray:
+    """Which of the sorted values differ from the one before."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
+def word_hashes(data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each word: its bytes by eights, the last ones with zeros, and its length; of long ones a digest."""
+    padded = data + bytes(8)
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = sizes.astype(np.uint64) * K2
+    short = sizes <= LONG_WORD
+    rows = np.flatnonzero(short)
+    for at in range(0, LONG_WORD, 8):
+        rows = rows[sizes[rows] > at]
+        if not len(rows):
+            break
+        held = eights[starts[rows] + at] & HELD[np.minimum(sizes[rows] - at, 8)]
+        out[rows] = mixed(out[rows] * K1 + held)
+    for k in np.flatnonzero(~short).tolist():
+        word = data[starts[k] : starts[k] + sizes[k]]
+        out[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest())
+    return out
 
 
 class Shingles:
-    """Sets of word shingles as sorted 64-bit hashes; remembers the hashes of words."""
+    """Sets of word shingles as sorted 64-bit hashes."""
 
     def __init__(self, words: int):
-        self.n, self.known = words, {}
-
-    def word(self, word: bytes) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = self.known[word] = hashlib.blake2b(word, digest_size=8).digest()
-        return found
+        self.n = words
 
     def of(self, text: str) -> np.ndarray:
         """A-Z in lower case; words end at ASCII white space; a shorter text is one shingle."""
         return self.of_bytes(text.encode("utf-8", "surrogatepass"))
 
     def of_bytes(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        hashes = np.frombuffer(b"".join(map(self.word, words)), np.uint64)
-        n = min(self.n, len(words))
-        out = np.full(len(words) - n + 1, n, np.uint64)
-        for i in range(n):
-            out = mixed(out * K1 + hashes[i : len(hashes) - n + 1 + i])
-        return np.unique(out)
+        return self.of_many([text])[0]
+
+    def of_many(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The sets of some texts at once: a step over a short array takes as long as one over many of them."""
+        data = b" ".join(texts).lower()
+        inside = np.zeros(len(data) + 2, bool)
+        inside[1:-1] = IN_WORD[np.frombuffer(data, np.uint8)]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begin, size = edges[::2], edges[1::2] - edges[::2]
+        hashes = word_hashes(data, begin, size)
+        last = np.cumsum([len(text) + 1 for text in texts], dtype=np.int64)
+        sizes = np.diff(np.searchsorted(begin, last), prepend=0)
+        starts = np.cumsum(sizes) - sizes
+        width = np.minimum(sizes, self.n)
+        count = np.where(sizes > 0, sizes - width + 1, 0)
+        # Windows that run into the next text are computed and left out.
+        out = np.full(max(0, len(hashes) - self.n + 1), self.n, np.uint64)
+        for i in range(self.n):
+            out = mixed(out * K1 + hashes[i : i + len(out)])
+        ends = np.cumsum(count)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - count), count)
+        whole = np.repeat(sizes >= self.n, count)
+        found = np.zeros(len(place), np.uint64)
+        found[whole] = out[place[whole]]
+        for k in np.flatnonzero((sizes > 0) & (sizes < self.n)).tolist():
+            value = np.full(1, sizes[k], np.uint64)
+            for i in range(starts[k], starts[k] + sizes[k]):
+                value = mixed(value * K1 + hashes[i : i + 1])
+            found[ends[k] - 1] = value[0]
+        new = np.ones(len(found), bool)
+        bounds = list(zip((ends - count).tolist(), ends.tolist(), strict=True))
+        for x, y in bounds:
+            found[x:y].sort()
+        np.not_equal(found[1:], found[:-1], out=new[1:])
+        new[(ends - count)[count > 0]] = True
+        return [found[x:y][new[x:y]] for x, y in bounds]
+
+
+def set_name(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), signed=True)
 
 
 @dataclass(frozen=True)
@@ -144,15 +206,35 @@ def bands_of(size: int, percent: int) -> list[Band]:
 
 def block_keys(shingles: np.ndarray, band: Band) -> np.ndarray:
     """A key for each block with enough shingles: band, block and XOR of the hashes in one number."""
-    salts = [np.uint64((band.number + 1) * int(k) & 0xFFFFFFFFFFFFFFFF) for k in (K1, K2)]
-    spot = mixed(shingles + salts[0]) >> np.uint64(32)
-    block = (spot * np.uint64(band.blocks)) >> np.uint64(32)
-    order = np.argsort(block, kind="stable")
-    block = block[order]
-    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    parity = np.bitwise_xor.reduceat(shingles[order], starts)
-    keys = mixed(mixed(parity + salts[1]) + block[starts] * K1)
-    return keys[np.diff(np.r_[starts, len(block)]) >= band.full]
+    return keys_of_many([shingles], [[band]])[0]
+
+
+def keys_of_many(sets: list[np.ndarray], use: list[list[Band]]) -> list[np.ndarray]:
+    """The ``block_keys`` of each set in all its bands, for some sets at once."""
+    dealt = [(k, band) for k, held in enumerate(use) if len(sets[k]) for band in held]
+    if not dealt:
+        return [np.zeros(0, np.uint64) for _ in sets]
+    owner = np.array([k for k, _ in dealt])
+    number, blocks, full = (np.array([getattr(band, c) for _, band in dealt], np.uint64) for c in ("number", "blocks", "full"))
+    salts = [(number + np.uint64(1)) * k for k in (K1, K2)]
+    first = np.cumsum(blocks) - blocks  # blocks of all are numbered on
+    shingles = np.concatenate([sets[k] for k, _ in dealt])
+    each = np.repeat(np.arange(len(dealt)), [len(sets[k]) for k, _ in dealt])
+    spot = mixed(shingles + salts[0][each]) >> S32
+    block = ((spot * blocks[each]) >> S32) + first[each]
+    # Block and place in one number: sorting numbers is faster than ordering them.
+    placed = (block << S32) | np.arange(len(block), dtype=np.uint64)
+    placed.sort()
+    block, place = placed >> S32, (placed & LOW).astype(np.int64)
+    starts = np.flatnonzero(firsts(block))
+    size = np.diff(starts, append=len(block)).astype(np.uint64)
+    parity = np.bitwise_xor.reduceat(shingles[place], starts)
+    each = each[place[starts]]
+    held = size >= full[each]
+    parity, each, block = parity[held], each[held], block[starts[held]]
+    keys = mixed(mixed(parity + salts[1][each]) + (block - first[each]) * K1)
+    cuts = np.searchsorted(owner[each], np.arange(len(sets) + 1)).tolist()
+    return [keys[x:y] for x, y in zip(cuts, cuts[1:])]
 
 
 def sketch_bits(size: int, percent: int) -> int:
@@ -161,8 +243,19 @@ def sketch_bits(size: int, percent: int) -> int:
 
 def parity_sketch(shingles: np.ndarray, bits: int) -> bytes:
     """Bit i is the parity of the number of shingles that fall on it; halving XORs the two halves."""
-    spots = (mixed(shingles ^ K3) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits(np.bincount(spots, minlength=bits) & 1 == 1).tobytes()
+    return sketches_of_many([shingles], [bits])[0]
+
+
+def sketches_of_many(sets: list[np.ndarray], bits: list[int]) -> list[bytes]:
+    """The ``parity_sketch`` of each set, for some sets at once."""
+    if not sets:
+        return []
+    ends = np.cumsum(bits)
+    sizes = [len(s) for s in sets]
+    spots = mixed(np.concatenate(sets) ^ K3) & np.repeat(np.array(bits, np.uint64) - np.uint64(1), sizes)
+    spots = spots.astype(np.int64) + np.repeat(ends - bits, sizes)
+    packed = np.packbits(np.bincount(spots, minlength=ends[-1]) & 1 == 1).tobytes()
+    return [packed[(end - size) // 8 : end // 8] for end, size in zip(ends.tolist(), bits, strict=True)]
 
 
 def sketch_distance(a: bytes, b: bytes) -> int:
@@ -179,7 +272,7 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = np.concatenate([a, b])
-    both.sort()
+    both.sort(kind="stable")  # merges the two
     shared = int(np.count_nonzero(both[1:] == both[:-1]))
     return 100 * shared >= percent * (len(both) - shared)
 
@@ -188,7 +281,7 @@ def packed_keys(keys: np.ndarray, place: np.ndarray, names: np.ndarray, parts: i
     """Keys of blocks, and the places of their sets in ``names``, as one row of packed numbers per part."""
     part = (keys % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
     order = np.argsort(part, kind="stable")
-    token = (keys[order] >> np.uint64(64 - KEY_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8]
+    token = (keys[order] >> np.uint64(64 - KEY_BITS)).astype("<u4")
     place, part = place[order], part[order]
     out: dict[str, list] = {"part": [], "names": [], "tokens": [], "places": []}
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)])
@@ -205,10 +298,7 @@ def unpacked_keys(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and sets of packed rows."""
     tokens, sets = [], []
     for r in rows:
-        short = np.frombuffer(r["tokens"], np.uint8).reshape(-1, KEY_BITS // 8)
-        whole = np.zeros((len(short), 8), np.uint8)
-        whole[:, : KEY_BITS // 8] = short
-        tokens.append(whole.view("<u8").ravel().astype(np.int64))
+        tokens.append(np.frombuffer(r["tokens"], "<u4").astype(np.int64))
         names = np.frombuffer(r["names"], np.int64)
         sets.append(names[np.frombuffer(r["places"], "<u2" if len(names) <= 1 << 16 else "<u4")])
     return np.concatenate(tokens), np.concatenate(sets)
@@ -222,7 +312,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     again leaves both out, so that copies do not multiply them.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.withColumns({"text_hash": F.xxhash64("text"), "size": F.octet_length("text")})
     parts = PARTS_A_TASK * shuffle_width(docs.sparkSession)
     facts, packs = ([c.split()[0] for c in x.split(", ")] for x in (FACTS, PACKS))
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -244,25 +334,29 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
             return whole(out, len(out["part"]))
 
         waiting = 0
-        for b in batches:
-            size, number, sketch = [], [], []
-            for text in b["text"].to_pylist():
-                s = shingles.of(text)
-                size.append(len(s))
-                digest = hashlib.blake2b(s.tobytes(), digest_size=8).digest()
-                name = int.from_bytes(digest, signed=True)
+        for b in (part for all in batches for part in in_parts(all, all["size"].to_numpy(), TEXTS_AT_ONCE)):
+            found = shingles.of_many(b["text"].cast(pa.binary()).to_pylist())
+            size = [len(s) for s in found]
+            number: list[int | None] = []
+            use: list[list[Band]] = []
+            for s in found:
+                name = set_name(s)
                 number.append(name if len(s) else None)
                 fresh = name not in seen
                 if len(seen) >= REMEMBERED:
                     seen.clear()
                 seen.add(name)
-                use = bands_of(len(s), percent) if fresh and len(s) else []
-                sketch.append(parity_sketch(s, sketch_bits(len(s), percent)) if use else None)
-                keys = [block_keys(s, x) for x in use]
-                if sum(map(len, keys)):
-                    held.append(np.concatenate(keys))
+                use.append(bands_of(len(s), percent) if fresh and len(s) else [])
+            drawn = [k for k, held_in in enumerate(use) if held_in]
+            sketch: list[bytes | None] = [None] * len(found)
+            bits = [sketch_bits(size[k], percent) for k in drawn]
+            for k, drawing in zip(drawn, sketches_of_many([found[k] for k in drawn], bits), strict=True):
+                sketch[k] = drawing
+            for name, keys in zip(number, keys_of_many(found, use), strict=True):
+                if len(keys):
+                    held.append(keys)
                     names.append(name)
-                    waiting += len(held[-1])
+                    waiting += len(keys)
                 if waiting >= KEYS_AT_ONCE:
                     yield pack()
                     held.clear(), names.clear()
@@ -273,7 +367,8 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
             yield pack()
 
     path = staging_path(docs.sparkSession, "shingles")
-    rows.mapInArrow(sets, f"packed boolean, {FACTS}, {PACKS}").write.partitionBy("packed").parquet(path)
+    with setting(docs.sparkSession, CLEANUP, "true"):
+        rows.mapInArrow(sets, f"packed boolean, {FACTS}, {PACKS}").write.partitionBy("packed").parquet(path)
     read = docs.sparkSession.read
     tables = [_kind(read, path, kind, schema) for kind, schema in (("false", FACTS), ("true", PACKS))]
     return *tables, lambda: delete(docs.sparkSession, f"{path}/packed=true")
@@ -318,34 +413,17 @@ def shared_blocks(packs: DataFrame) -> DataFrame:
     return rows.mapInArrow(stream, "block bigint, set bigint")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set, shingles as bytes) of the wanted (doc_id, text_hash, set); the doc_id may be null."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"))
-    rows = rows.withColumn("hash", F.xxhash64("text"))
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set, size, text compressed) of the wanted (doc_id, text_hash, set); the doc_id may be null.
 
-    moved = pressed(rows)
+    Compressed texts are a third of their shingles' hashes, which have no redundancy. A set has a second
+    row if another text of its document has the same hash; ``verified`` leaves that one out.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole_text().alias("text"))
+    rows = pressed(rows.withColumn("hash", F.xxhash64("text")))
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    rows = moved.join(wanted, same).select("set", "size", "text")
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, told = Shingles(words), set()
-        for b in batches:
-            numbers, held = [], []
-            for name, size, text in zip(*(b[c].to_pylist() for c in ("set", "size", "text")), strict=True):
-                # Rows without doc_id, or that repeat theirs, may be many copies of one text.
-                if name in told:
-                    continue
-                s = shingles.of_bytes(unpressed(text, size))
-                # Other texts may have the same hash.
-                if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), signed=True) == name:
-                    if len(told) >= REMEMBERED:
-                        told.clear()
-                    told.add(name)
-                    numbers.append(name)
-                    held.append(s.tobytes())
-            yield pa.RecordBatch.from_pydict({"set": pa.array(numbers, pa.int64()), "shingles": pa.array(held, pa.binary())})
-
-    return rows.mapInArrow(build, "set bigint, shingles binary").dropDuplicates(["set"])
+    # Rows without doc_id, or that repeat theirs, may be many copies of one text.
+    return rows.join(wanted, same).select("set", "size", "text").distinct()
 
 
 def tiled(rows: DataFrame) -> DataFrame:
@@ -437,21 +515,49 @@ def close_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return found.groupBy("a", "b").agg(F.max("apart").alias("apart"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that are linked, by the whole sets."""
+def near_pairs(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that may be linked, by their sizes and sketches, as ``close_pairs`` judges."""
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("set").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+    def side(name: str) -> DataFrame:
+        return info.select(F.col("set").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch")])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [
-                linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                for x, y in zip(b["shingles_a"].to_pylist(), b["shingles_b"].to_pylist(), strict=True)
-            ]
+            n = np.stack([b["n_a"].to_numpy(), b["n_b"].to_numpy()])
+            most = n.sum(axis=0) * (100 - percent) // (100 + percent)
+            apart = map(sketch_distance, b["sketch_a"].to_pylist(), b["sketch_b"].to_pylist())
+            keep = 100 * n.min(axis=0) >= percent * n.max(axis=0)
+            keep &= np.fromiter(apart, np.int64, b.num_rows) <= most
+            yield b.select(["a", "b"]).filter(pa.array(keep))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a bigint, b bigint")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that are linked, by the whole sets, which are made again from the texts."""
+
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("set").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("size", "text")])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(words)
+
+        def sizes(b: pa.RecordBatch) -> np.ndarray:
+            return b["size_a"].to_numpy() + b["size_b"].to_numpy()
+
+        for b in (part for all in batches for part in in_parts(all, sizes(all), TEXTS_AT_ONCE)):
+            # A hub has many pairs: its set is made once.
+            texts: dict[tuple[int, bytes], int] = {}
+            for x in "ab":
+                for name, size, text in zip(*(b[c].to_pylist() for c in (x, f"size_{x}", f"text_{x}")), strict=True):
+                    texts.setdefault((name, text), size)
+            made = shingles.of_many([unpressed(text, size) for (_, text), size in texts.items()])
+            sets = {name: s for (name, _), s in zip(texts, made, strict=True) if set_name(s) == name}
+            ends = zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)
+            keep = [x in sets and y in sets and linked(sets[x], sets[y], percent) for x, y in ends]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a bigint, b bigint")
 
 
 def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: DataFrame, words: int, percent: int, rounds: int) -> DataFrame | None:
@@ -460,8 +566,8 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
         return None
     some = stage(shared.select("set").distinct(), "shared")
     info = sets.where("sketch is not null").groupBy("set").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    known = whole_sets(docs, names.join(some, "set"), words).join(info, "set")
-    known, known_path = stage_at(known, "sets")
+    info = stage(info.join(some, "set"), "info")
+    texts, texts_path = stage_at(texts_of(docs, names.join(some, "set")), "texts")
     labels = some.select("set", F.col("set").alias("label"))
 
     def split(rows: DataFrame) -> DataFrame:
@@ -484,7 +590,7 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
         return counted.groupBy("set").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).withColumnRenamed("set", "a")
 
     def merged(pairs: DataFrame) -> DataFrame:
-        links = stage(verified(pairs, known, percent), "links")
+        links = stage(verified(pairs, texts, words, percent), "links")
         a, b = (labels.select(F.col("set").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
         ends = links.join(a, "a").join(b, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
         groups = components(ends.where("a <> b").distinct()).select(F.col("node").alias("label"), F.col("label").alias("to"))
@@ -499,9 +605,9 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
             pairs = stage(with_hubs(rows, used), "hubs")
             hubs = pairs.select(F.col("b").alias("set")).distinct()
             used = hubs if used is None else used.unionByName(hubs).distinct()
-            labels = merged(pairs)
+            labels = merged(near_pairs(pairs, info, percent))
     else:
-        pairs = stage(close_pairs(rows.join(known.select("set", "n", "sketch"), "set"), percent), "close")
+        pairs = stage(close_pairs(rows.join(info, "set"), percent), "close")
         most = NEAREST
         while True:
             # The nearest pairs of every set come first: what they connect needs no others.
@@ -514,8 +620,8 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
             now = (F.col("turn_a") <= most) | (F.col("turn_b") <= most)
             labels = merged(apart.where(now).select("a", "b"))
             pairs, most = apart.where(~now).select("a", "b", "apart"), 4 * most
-    # The labels are staged, or those of the sets themselves: the sets' shingles have no readers left.
-    delete(docs.sparkSession, known_path)
+    # The labels are staged, or those of the sets themselves: the texts have no readers left.
+    delete(docs.sparkSession, texts_path)
     return labels
 
 
@@ -539,6 +645,11 @@ def with_components(docs: DataFrame, words: int, percent: int, rounds: int = 3)
     """
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be in 1..100 and words at least 1")
+    with small_batches(docs.sparkSession):
+        return _with_components(docs, words, percent, rounds)
+
+
+def _with_components(docs: DataFrame, words: int, percent: int, rounds: int) -> DataFrame:
     sets, packs, drop_packs = shingle_sets(docs, words, percent)
     shared = stage(shared_blocks(packs), "blocks")
     drop_packs()

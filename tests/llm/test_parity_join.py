@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from ledgerlift.llm.parity_join import (
     bands,
     bands_of,
     block_keys,
+    keys_of_many,
     linked,
     most_different,
     near_duplicates,
@@ -19,6 +21,9 @@ from ledgerlift.llm.parity_join import (
     representatives,
     sketch_bits,
     sketch_distance,
+    sketches_of_many,
+    texts_of,
+    verified,
 )
 
 SCHEMA = "doc_id bigint, text string, label bigint, `set` int, n int"
@@ -155,3 +160,57 @@ def test_tiles_of_large_blocks(spark, monkeypatch):
     rows = corpus(7, 200)
     got = near_duplicates(spark.createDataFrame(rows, SCHEMA), 4, 85, rounds=0)
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows, 4, 85)
+
+
+def test_sets_of_many_texts_are_those_of_each():
+    texts = [t.encode() for _, t, *_ in corpus(5, 80)] + [b"", b" \t", b"one", b"a b c", b"a\0 a", b"A" * 64 + b" x", b"a" * 65 + b"\x0bx y z"]
+    found = Shingles(4).of_many(texts)
+    for text, s in zip(texts, found, strict=True):
+        assert s.tolist() == Shingles(4).of_bytes(text).tolist() == sorted(set(s.tolist()))
+        assert len(s) == len(shingles(text.decode(), 4))
+    assert len({s[0] for s in Shingles(1).of_many([b"a", b"a\0", b"a\0\0", b"ab", b"a" * 8, b"a" * 9, b"a" * 64, b"a" * 65])}) == 8
+    assert Shingles(1).of("w" * 65 + "A").tolist() == Shingles(1).of("W" * 65 + "a").tolist()
+    use = [bands_of(len(s), 80) if len(s) else [] for s in found]
+    for s, bands_used, keys in zip(found, use, keys_of_many(found, use), strict=True):
+        assert keys.tolist() == [k for b in bands_used for k in block_keys(s, b).tolist()]
+    sets = [s for s in found if len(s)]
+    bits = [sketch_bits(len(s), 80) for s in sets]
+    assert sketches_of_many(sets, bits) == [parity_sketch(s, n) for s, n in zip(sets, bits)]
+
+
+def test_sets_move_as_compressed_texts(spark):
+    """Hashes of shingles have no redundancy: moving and staging them took three times the room of the texts."""
+    rows = [(i, " ".join(f"word{(i + j) % 900}" for j in range(600))) for i in range(6)]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string")
+    names = [Shingles(4).of(t) for _, t in rows]
+    from ledgerlift.llm.parity_join import set_name
+
+    wanted = spark.createDataFrame([(i, set_name(s)) for (i, _), s in zip(rows, names)], "doc_id bigint, `set` bigint")
+    wanted = wanted.join(docs.distinct(), "doc_id").selectExpr("doc_id", "xxhash64(text) AS text_hash", "`set`")
+    texts = texts_of(docs, wanted)
+    held = texts.collect()
+    assert len(held) == 6 and sum(len(r.text) for r in held) < 8 * sum(map(len, names)) / 2
+    ends = [set_name(names[k]) for k in (0, 1, 0, 5)]
+    pairs = spark.createDataFrame([tuple(ends[:2]), tuple(ends[2:])], "a bigint, b bigint")
+    # The text of another document under a set's name, as equal hashes of texts would give it.
+    wrong = texts.where(f"`set` = {ends[1]}").selectExpr(f"{ends[0]} AS `set`", "size", "text")
+    got = {tuple(r) for r in verified(pairs, texts.unionByName(wrong), 4, 99).collect()}
+    want = {p for p, (x, y) in zip([tuple(ends[:2]), tuple(ends[2:])], [(0, 1), (0, 5)]) if linked(names[x], names[y], 99)}
+    assert got == want and len(want) == 1
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    from ledgerlift.llm.common import CLEANUP, stage
+
+    before = spark.conf.get(CLEANUP, None)
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    rows = spark.range(1000).repartition(5, "id")
+    old = {str(f) for f in held.getAllFiles().mkString("|").split("|") if "shuffle" in str(f)}
+    staged = stage(rows, "rows")
+    for _ in range(50):
+        new = {f for f in held.getAllFiles().mkString("|").split("|") if "shuffle" in f} - old
+        if not new:
+            break
+        time.sleep(0.1)
+    assert not new and spark.conf.get(CLEANUP, None) == before
+    assert staged.count() == 1000
