@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import delete, shuffle_width, staging_path, whole_text
+from ledgerlift.llm.common import delete, shuffle_width, small_batches, staging_path, whole_text
 
 WORD_BUCKETS, SHAPE_BUCKETS = 512, 256
 SOURCE_BUCKETS, LANG_BUCKETS, LAYOUT = 64, 16, 10
@@ -213,7 +213,8 @@ def featured(docs: DataFrame, labels: DataFrame, how: CoTraining) -> tuple[DataF
             yield pa.RecordBatch.from_arrays([b["y"], b["held"], *packed, b["known"]], [c.split()[0] for c in FEATURES.split(", ")])
 
     path = staging_path(docs.sparkSession, "features")
-    rows.mapInArrow(make, FEATURES).write.partitionBy("known").parquet(path)
+    with small_batches(docs.sparkSession):
+        rows.mapInArrow(make, FEATURES).write.partitionBy("known").parquet(path)
     whole = docs.sparkSession.read.schema(FEATURES).parquet(path)
     return whole.where("known"), whole.where("not known"), path
 

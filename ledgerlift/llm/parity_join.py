@@ -9,7 +9,8 @@ below by their Hamming distance, and what is left is verified on the whole sets.
 Copies collapse into one set first. Of the sets that share a block, one is compared with the others, and
 sets that are then known to be connected are not compared again. What is still apart after some rounds is
 compared pair by pair, first by the sketches, in tiles of bounded size. So a group of near copies costs
-about one verification per member and round, and yet no link between two components is lost.
+about one verification per member and round, and yet no link between two components is lost. Blocks that
+have the same sets, as near copies have many, are one block with a weight.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ GROWTH = 1.35
 TILE = 4096
 #: Pairs of each set that are verified first, where sketches leave many.
 NEAREST = 2
+#: Sets of a block that stays for another round though none of them was connected in the last one.
+CROWD = 256
 #: Sketch words that are compared at once.
 WORDS_AT_ONCE = 1 << 21
 #: A set finds fewer equal blocks than it needs with the chance of so many standard deviations.
@@ -380,7 +383,10 @@ def _kind(read: DataFrameReader, path: str, kind: str, schema: str) -> DataFrame
 
 
 def shared_blocks(packs: DataFrame) -> DataFrame:
-    """(block, set) for blocks of at least two sets."""
+    """(block, set, weight) for blocks of at least two sets; weight is the number of blocks with the same sets.
+
+    ``block`` is a hash of the block's sets: blocks of the same sets connect nothing that one of them does not.
+    """
     rows = packs.repartition(shuffle_width(packs.sparkSession), "part").sortWithinPartitions("part")
 
     def shared(held: list[dict]) -> pa.RecordBatch:
@@ -396,8 +402,14 @@ def shared_blocks(packs: DataFrame) -> DataFrame:
         token, item = token[new], item[new]
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
         size = np.diff(np.r_[starts, len(token)])
-        out = np.repeat(size > 1, size)
-        return pa.RecordBatch.from_pydict({"block": token[out] | held[0]["part"] << KEY_BITS, "set": item[out]})
+        starts, size = starts[size > 1], size[size > 1]
+        block, one, weight = np.unique(block_names(item, starts, size), return_index=True, return_counts=True)
+        starts, size = starts[one], size[one]
+        ends = np.cumsum(size)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - size), size)
+        return pa.RecordBatch.from_pydict(
+            {"block": np.repeat(block, size), "set": item[place], "weight": np.repeat(weight.astype(np.int64), size)}
+        )
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -410,7 +422,16 @@ def shared_blocks(packs: DataFrame) -> DataFrame:
         if held:
             yield shared(held)
 
-    return rows.mapInArrow(stream, "block bigint, set bigint")
+    found = rows.mapInArrow(stream, "block bigint, set bigint, weight bigint")
+    return found.groupBy("block", "set").agg(F.sum("weight").alias("weight"))
+
+
+def block_names(item: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the distinct sets of each block: ``size`` items from ``starts`` on."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    sums = np.r_[np.uint64(0), np.cumsum(mixed(item.astype(np.int64).view(np.uint64) + K1))]
+    return mixed(sums[starts + size] - sums[starts] + size.astype(np.uint64) * K3).view(np.int64)
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -571,10 +592,17 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
     labels = some.select("set", F.col("set").alias("label"))
 
     def split(rows: DataFrame) -> DataFrame:
-        """Blocks whose sets are not all connected yet."""
+        """Blocks whose sets are not all connected yet, with the new labels."""
+        rows = rows.join(labels, "set")
         ends = rows.groupBy("block").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         return rows.join(ends.select("block"), "block")
 
+    def still_moving(rows: DataFrame) -> DataFrame:
+        """The split blocks of which a set got another label, or that are large: the others wait for ``close_pairs``."""
+        rows = split(rows.withColumnRenamed("label", "was"))
+        moved = rows.groupBy("block").agg(F.max(F.col("label") != F.col("was")).alias("moved"), F.count(F.lit(1)).alias("size"))
+        return rows.drop("was").join(moved.where(F.col("moved") | (F.col("size") > CROWD)).select("block"), "block")
+
     def with_hubs(rows: DataFrame, used: DataFrame | None) -> DataFrame:
         """(a, b): each set and, of the hubs it meets, the one it shares most blocks with.
 
@@ -582,11 +610,11 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
         of a group of near copies are nearest to; hubs of earlier turns are passed over.
         """
         size = rows.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
-        met = rows.join(size, "block").groupBy("set").agg(F.sum("size").alias("met"))
+        met = rows.join(size, "block").groupBy("set").agg(F.sum(F.col("size") * F.col("weight")).alias("met"))
         ranked = rows.join(met if used is None else met.join(used, "set", "left_anti"), "set")
         hubs = ranked.groupBy("block").agg(F.max_by(F.struct("set", "label"), F.struct("met", "set")).alias("hub"))
-        pairs = rows.join(hubs, "block").where("label <> hub.label").select("set", F.col("hub.set").alias("hub"))
-        counted = pairs.groupBy("set", "hub").agg(F.count(F.lit(1)).alias("n"))
+        pairs = rows.join(hubs, "block").where("label <> hub.label").select("set", F.col("hub.set").alias("hub"), "weight")
+        counted = pairs.groupBy("set", "hub").agg(F.sum("weight").alias("n"))
         return counted.groupBy("set").agg(F.max_by("hub", F.struct("n", "hub")).alias("b")).withColumnRenamed("set", "a")
 
     def merged(pairs: DataFrame) -> DataFrame:
@@ -597,29 +625,30 @@ def linked_sets(docs: DataFrame, sets: DataFrame, shared: DataFrame, names: Data
         return stage(labels.join(groups, "label", "left").select("set", F.coalesce("to", "label").alias("label")), "merged")
 
     used = None
-    for turn in range(rounds + 1):
-        rows = stage(split(shared.join(labels, "set")), "apart")
-        if rows.isEmpty():
-            break
-        if turn < rounds:
-            pairs = stage(with_hubs(rows, used), "hubs")
-            hubs = pairs.select(F.col("b").alias("set")).distinct()
-            used = hubs if used is None else used.unionByName(hubs).distinct()
-            labels = merged(near_pairs(pairs, info, percent))
-    else:
-        pairs = stage(close_pairs(rows.join(info, "set"), percent), "close")
-        most = NEAREST
-        while True:
-            # The nearest pairs of every set come first: what they connect needs no others.
-            a, b = (labels.select(F.col("set").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-            apart = pairs.join(a, "a").join(b, "b").where("label_a <> label_b").select("a", "b", "apart")
-            turns = [F.row_number().over(Window.partitionBy(x).orderBy("apart", y)).alias(f"turn_{x}") for x, y in ("ab", "ba")]
-            apart = stage(apart.select("*", *turns), "open")
-            if apart.isEmpty():
+    rows = shared.withColumn("label", F.col("set"))
+    for turn in range(rounds):
+        if turn:
+            rows = stage(still_moving(rows), "moving")
+            if rows.isEmpty():
                 break
-            now = (F.col("turn_a") <= most) | (F.col("turn_b") <= most)
-            labels = merged(apart.where(now).select("a", "b"))
-            pairs, most = apart.where(~now).select("a", "b", "apart"), 4 * most
+        pairs = stage(with_hubs(rows, used), "hubs")
+        hubs = pairs.select(F.col("b").alias("set")).distinct()
+        used = hubs if used is None else used.unionByName(hubs).distinct()
+        labels = merged(near_pairs(pairs, info, percent))
+    rows = split(shared).drop("weight")
+    pairs = stage(close_pairs(rows.join(info, "set"), percent), "close")
+    most = NEAREST
+    while True:
+        # The nearest pairs of every set come first: what they connect needs no others.
+        a, b = (labels.select(F.col("set").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+        apart = pairs.join(a, "a").join(b, "b").where("label_a <> label_b").select("a", "b", "apart")
+        turns = [F.row_number().over(Window.partitionBy(x).orderBy("apart", y)).alias(f"turn_{x}") for x, y in ("ab", "ba")]
+        apart = stage(apart.select("*", *turns), "open")
+        if apart.isEmpty():
+            break
+        now = (F.col("turn_a") <= most) | (F.col("turn_b") <= most)
+        labels = merged(apart.where(now).select("a", "b"))
+        pairs, most = apart.where(~now).select("a", "b", "apart"), 4 * most
     # The labels are staged, or those of the sets themselves: the texts have no readers left.
     delete(docs.sparkSession, texts_path)
     return labels
@@ -640,8 +669,8 @@ def with_components(docs: DataFrame, words: int, percent: int, rounds: int = 3)
     component, and has none if nothing else is in it. An empty table gives an empty one; other columns are
     not looked at.
 
-    Blocks may miss a link with a chance below 1e-8 per set (``SIGMAS``), two different sets may share an
-    id with n^2 / 2^65; both are accidents of 64-bit hashes, not of the data.
+    Blocks may miss a link with a chance below 1e-8 per set (``SIGMAS``), two different sets, or the sets of
+    two different blocks, may share an id with n^2 / 2^65; all are accidents of 64-bit hashes, not of the data.
     """
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be in 1..100 and words at least 1")

@@ -19,6 +19,8 @@ from ledgerlift.llm.parity_join import (
     near_duplicates,
     parity_sketch,
     representatives,
+    shared_blocks,
+    shingle_sets,
     sketch_bits,
     sketch_distance,
     sketches_of_many,
@@ -214,3 +216,21 @@ def test_staged_tables_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not new and spark.conf.get(CLEANUP, None) == before
     assert staged.count() == 1000
+
+
+def test_blocks_of_the_same_sets_are_one_with_a_weight(spark):
+    rnd = random.Random(8)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(400)]
+    other = [f"v{rnd.randrange(10**6)}" for _ in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "end"]), " ".join(other), " ".join(["start", *other])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    _, packs, drop = shingle_sets(docs, 5, 80)
+    rows = shared_blocks(packs).collect()
+    drop()
+    expected = []
+    for pair in (texts[:2], texts[2:]):
+        sets = [Shingles(5).of(t) for t in pair]
+        keys = [set(np.concatenate([block_keys(s, b) for b in bands_of(len(s), 80)]).tolist()) for s in sets]
+        expected += [len(keys[0] & keys[1])] * 2
+    assert min(expected) > 1 and sorted(expected) == sorted(r.weight for r in rows)
+    assert len({r.block for r in rows}) == 2 and len({r.set for r in rows}) == 4
