@@ -23,10 +23,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerlift.llm.common import in_parts, whole_text
 
 SPACE = "▁"
-#: Words whose ids a task remembers, and the longest word worth remembering. They decide the speed only.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 19, 256
+#: Words whose ids a process remembers, and the longest word worth remembering. They decide the speed only.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
 #: Characters that are merged at once, and bytes of texts that are split at once, but for a longer word or text.
-CHARS_AT_ONCE, TEXTS_AT_ONCE = 1 << 17, 1 << 22
+CHARS_AT_ONCE, TEXTS_AT_ONCE = 1 << 17, 1 << 20
+#: Ids that become texts at once, but for a longer line.
+IDS_AT_ONCE = 1 << 18
 #: Symbols of a segment from which on merges that must follow each other are taken from a queue.
 QUEUED = 128
 NONE = np.iinfo(np.int32).max
@@ -311,10 +313,12 @@ class Pieces:
 
     def learn(self, words: set[str]) -> None:
         """Encode the words that are not known yet, a bounded number of characters at a time."""
-        if len(self.known) + len(words) > REMEMBERED:
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
+            new = list(words)
         held, size = [], 0
-        for word in [*[w for w in words if w not in self.known], None]:
+        for word in [*new, None]:
             if held and (word is None or size + len(word) > CHARS_AT_ONCE):
                 self.known.update(zip(held, self.encode_words(held), strict=True))
                 held, size = [], 0
@@ -331,9 +335,11 @@ class Pieces:
         if not self.fallback:
             # Unknown characters that follow each other are one.
             out = [x[np.r_[True, (x[1:] != self.unknown) | (x[:-1] != self.unknown)][: len(x)]] for x in out]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         for word in words:
             if len(word) > LONGEST_REMEMBERED:
-                del self.known[word]
+                self.known.pop(word, None)
         return out
 
     def shown(self, i: int) -> bytes:
@@ -407,15 +413,36 @@ def sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     yield from in_parts(batch, size, TEXTS_AT_ONCE)
 
 
-def with_ids(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
+def encoded(texts: pa.Array, use: Pieces) -> pa.ListArray:
+    """The ids of each text."""
+    ids = use.encode(texts.to_pylist())
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def decoded(lists: pa.ListArray, use: Pieces) -> pa.Array:
+    """The text of each line of ids; a null line is empty."""
+    none = np.zeros(0, np.int32)
+    flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    valid = lists.is_valid().to_numpy(zero_copy_only=False)
+    lines = [flat[x:y] if ok else none for x, y, ok in zip(ends[:-1], ends[1:], valid, strict=True)]
+    return pa.array(use.decode(lines), pa.string())
+
+
+def with_ids(docs: DataFrame, model: bytes, text: str = "text", back: str | None = None) -> DataFrame:
     """``row`` (all columns but the text, as a struct) and ``ids``: the whole text in the pieces of ``model``.
 
     Ids are those that the sentencepiece library gives, without begin or end. ``model`` is a serialised
-    byte-pair model; it travels with the tasks, so executors need no file.
+    byte-pair model; it travels with the tasks, so executors need no file. ``back`` names one more column:
+    the text that the ids decode to, as by ``with_text``, made in the same pass. Two passes that follow each
+    other would run in two processes to a task, each with a model of its own.
 
     A null or empty text has no ids; a very long one, also without any blank, is encoded whole; repeated
     rows and null ids stay as they are; an empty table gives an empty one. Other columns may have any name.
     """
+    if back in ("row", "ids"):
+        raise ValueError(f"the table has a column {back} already")
     pieces(model)  # tells of a model that cannot be read before any task starts
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     rows = docs.select(F.struct(*others, F.lit(0).alias("_")).alias("row"), whole_text(f"`{text}`").alias("text"))
@@ -424,15 +451,13 @@ def with_ids(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
         use = pieces(model)
         for batch in batches:
             for b in sliced(batch, "text"):
-                ids = use.encode(b["text"].to_pylist())
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b["row"], lists], ["row", "ids"])
+                ids = encoded(b["text"], use)
+                columns = {"row": b["row"], "ids": ids} | ({back: decoded(ids, use)} if back else {})
+                yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
     kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(encode, f"row {kind}, ids array<int>")
-    return out.select(F.col("row").dropFields("_").alias("row") if others else "row", "ids")
+    out = rows.mapInArrow(encode, f"row {kind}, ids array<int>" + (f", `{back}` string" if back else ""))
+    return out.withColumn("row", F.col("row").dropFields("_")) if others else out
 
 
 def with_text(encoded: DataFrame, model: bytes, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -447,21 +472,17 @@ def with_text(encoded: DataFrame, model: bytes, ids: str = "ids", name: str = "d
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = pieces(model)
-        none = np.zeros(0, np.int32)
-        for b in batches:
-            lists = b.column(at)
-            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            valid = lists.is_valid().to_numpy(zero_copy_only=False)
-            lines = [flat[x:y] if ok else none for x, y, ok in zip(ends[:-1], ends[1:], valid, strict=True)]
-            texts = pa.array(use.decode(lines), pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, name])
+        for batch in batches:
+            size = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            for b in in_parts(batch, size, IDS_AT_ONCE):
+                yield pa.RecordBatch.from_arrays([*b.columns, decoded(b.column(at), use)], [*b.schema.names, name])
 
     return encoded.mapInArrow(decode, schema)
 
 
 def round_trip(docs: DataFrame, model: bytes) -> DataFrame:
     """Per document doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by commas) and decoded_sha256."""
-    back = with_text(with_ids(docs.select("doc_id", "text"), model), model)
+    back = with_ids(docs.select("doc_id", "text"), model, back="decoded")
     return back.select(
         "row.doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from ledgerlift.llm import pieces
 from ledgerlift.llm.pieces import Lookup, Pieces, round_trip, with_ids, with_text
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -85,3 +86,23 @@ def test_tables(spark, library):
     assert digests == expected
     assert round_trip(docs.limit(0), MODEL).count() == 0
     assert with_ids(docs.select("text"), MODEL).count() == len(texts)
+
+
+def test_a_process_remembers_a_bounded_number_of_words(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    own = Pieces(MODEL)
+    for texts in (["w%d" % i for i in range(40)], ["w%d" % i for i in range(30)] * 2, [" ".join("v%d" % i for i in range(200))], ["y" * 100]):
+        assert [x.tolist() for x in own.encode(texts)] == library.encode(texts)
+        assert len(own.known) <= 50
+        assert max(map(len, own.known), default=0) <= pieces.LONGEST_REMEMBERED
+
+
+def test_ids_and_texts_in_one_pass(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate([None, "", "Hello world", "x" * 3000, "é \U0001f600\n", "a b"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    both = with_ids(docs, MODEL, back="decoded")
+    assert sorted(both.collect()) == sorted(with_text(with_ids(docs, MODEL), MODEL).collect())
+    plan = round_trip(docs, MODEL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    with pytest.raises(ValueError):
+        with_ids(docs, MODEL, back="ids")
