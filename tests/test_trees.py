@@ -224,3 +224,103 @@ def test_forests_stay_in_staged_tables(spark, monkeypatch):
     assert len(ensemble.trees) == 7 and len(scored) == 300
     for i, p in enumerate(ensemble.probability(x)):
         assert scored[f"r{i}"] == (pytest.approx(p), int(p >= 0.5))
+
+
+def test_histograms_count_the_smaller_sides_only(monkeypatch):
+    """Trees of many rows are those of few rows; of two siblings one is counted, the other is what is left of the parent."""
+    rng = np.random.default_rng(3)
+    n = 3000
+    x = np.c_[rng.normal(size=(n, 3)), rng.integers(0, 4, (n, 3))]
+    y = (x[:, 0] + 0.3 * x[:, 3] + rng.normal(size=n) > 0.5).astype(int)
+    edges = [np.unique(np.quantile(x[:, j], np.arange(1, 60) / 60, method="lower")) for j in range(6)]
+    key, use = T.mixed(np.arange(n).astype(np.uint64), 5), np.ones((n, 1), bool)
+    counted = []
+    plain = T.counts
+    monkeypatch.setattr(T, "counts", lambda column, rows, *more: counted.append(len(rows)) or plain(column, rows, *more))
+    monkeypatch.setattr(T, "BUNDLE", 100)
+    small = {"trees": 5, "rate": 0.3, "l2": 1.0}
+    for recipe in (
+        T.Recipe("d", False, depth=4, min_hessian=1.0, rows=0.8, features=0.8, weight="positive", **small),
+        T.Recipe("l", False, leaves=9, min_rows=20, min_hessian=1e-3, from_average=True, weight="balanced", **small),
+    ):
+        block = T.Block(None, y, use, key, edges, T.binned(x, edges).astype(np.uint8))
+        _, expected = T.alone(block, T.fit_ensemble(recipe, 0, 6))
+        counted.clear()
+        monkeypatch.setattr(T, "MANY", 1)
+        block = T.Block(None, y, use, key, edges, block.bins)
+        _, trees = T.alone(block, T.fit_ensemble(recipe, 0, 6))
+        monkeypatch.setattr(T, "MANY", n + 1)
+        for a, b in zip(trees, expected, strict=True):
+            assert all((a[i] == b[i]).all() for i in range(4)) and np.allclose(a[4], b[4]) and np.allclose(a[5], b[5])
+        # A level has at most half of the rows in its smaller sides; three features of four values are one column.
+        depth = recipe.depth or 9
+        assert any(c < n / 2 for c in counted) and sum(counted) <= 5 * 6 * n * (1 + (depth - 1) / 2)
+        assert [(features, widths) for features, widths, _ in block.bundles] == [([3, 4, 5], [4, 4, 4])]
+
+
+@pytest.mark.parametrize("dense", [1, 10**9])
+def test_forest_trees_at_once_are_those_of_single_requests(monkeypatch, dense):
+    """Whether levels are counted in arrays or sorted, and however many bins there are."""
+    monkeypatch.setattr(T, "DENSE", dense)
+    rng = np.random.default_rng(8)
+    n = 900
+    x = np.c_[np.round(rng.random((n, 8)), 1), rng.normal(size=(n, 2))]
+    y = (x[:, 0] + x[:, 8] + rng.normal(size=n) > 0.5).astype(int)
+    key, use = T.mixed(np.arange(n).astype(np.uint64), 5), np.ones((n, 1), bool)
+    for cuts in (50, 400):
+        edges = [np.unique(np.quantile(x[:, j], np.arange(1, cuts) / cuts, method="lower")) for j in range(10)]
+        block = T.Block(x, y, use, key, edges)
+        for recipe in (T.Recipe("f", True, 3, min_rows=2), T.Recipe("g", True, 2, min_rows=5, depth=4)):
+            answer, fit = None, T.fit_ensemble(recipe, 0, 10)
+            while True:
+                try:
+                    answer = fit.send(answer).of(block)
+                except StopIteration as end:
+                    _, expected = end.value
+                    break
+            _, trees = T.alone(block, T.fit_ensemble(recipe, 0, 10))
+            assert all((a == b).all() for s, t in zip(trees, expected, strict=True) for a, b in zip(s, t, strict=True))
+            for tree in trees:
+                assert (T.leaves_of(np.ascontiguousarray(block.bins.T), tree) == T.leaf_of(block.bins, tree)).all()
+
+
+def test_a_forest_of_no_rows_is_leaves():
+    block = T.Block(np.zeros((0, 2)), np.zeros(0), np.zeros((0, 1), bool), np.zeros(0, np.uint64), [np.array([0.5])] * 2)
+    _, trees = T.alone(block, T.fit_ensemble(T.Recipe("f", True, 2), 0, 2))
+    assert [len(t[0]) for t in trees] == [1, 1]
+
+
+def test_hinge_sums_are_those_of_each_fold_by_itself(monkeypatch):
+    x, y, use, key, edges = data(300)
+    marks = x[:20] / 2.0
+    root = np.linalg.qr(np.random.default_rng(1).normal(size=(20, 20)))[0][:, :12]
+    block, scale, gamma = T.Block(x, y, use, key, edges), np.full(5, 2.0), 0.7
+    rng = np.random.default_rng(2)
+    weights = tuple((k, rng.normal(size=13)) for k in (0, 1, 2, -1))
+    summed = []
+    plain = T.squares
+    monkeypatch.setattr(T, "squares", lambda z, which: summed.append(int(which.sum())) or plain(z, which))
+    got = T.Hinge(0, (scale, gamma, marks, root), (1.5, 0.5), weights, 3).of(block)
+    rows = use[:, 0]
+    a = x[rows] / scale
+    z = np.c_[np.exp(-gamma * ((a[:, None] - marks) ** 2).sum(axis=2)) @ root, np.ones(rows.sum())]
+    sign, cost = np.where(y[rows] == 1, 1.0, -1.0), np.where(y[rows] == 1, 0.5, 1.5)
+    fold = (T.mixed(block.key[rows], 78) % np.uint64(3)).astype(int)
+    for (k, w), found in zip(weights, got, strict=True):
+        short = 1 - sign * (z @ w)
+        on = (short > 0) & (fold != k)
+        zc = z[on] * cost[on, None]
+        assert np.allclose(found, np.c_[zc.T @ z[on], -(zc * (sign * short)[on, None]).sum(axis=0)])
+    assert sum(summed[:3]) <= rows.sum()  # each row once for all weight vectors; the rest puts right
+
+
+def test_margins_out_of_fold_are_made_once(monkeypatch):
+    x, y, use, key, edges = data(300)
+    calls = []
+    plain = T.kernel_rows
+    monkeypatch.setattr(T, "kernel_rows", lambda *a: calls.append(1) or plain(*a))
+    steps = []
+    of = T.Platt.of
+    monkeypatch.setattr(T.Platt, "of", lambda self, block: steps.append(len(calls)) or of(self, block))
+    T.alone(T.Block(x, y, use, key, edges), T.fit_kernel(1, 2.0, 40, 3, 50))
+    assert len(steps) > 2 and len(calls) == steps[0] + 1
